@@ -51,7 +51,7 @@ def value_ranks(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:
     qs = counts.agg(F.percentile_approx("__v", probs, 10 * buckets)).first()[0] or []
     splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
     bucketed = Bucketizer(splits=splits, inputCol="__v", outputCol="__b").transform(counts)
-    per = [(int(r[0]), int(r[1])) for r in bucketed.groupBy("__b").agg(F.sum("n_eq")).collect()]
+    per = [(float(r[0]), int(r[1])) for r in bucketed.groupBy("__b").agg(F.sum("n_eq")).collect()]
     offs = _offsets(df.sparkSession, per, "__b", "double")
     w = Window.partitionBy("__b").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
     return (bucketed.join(F.broadcast(offs), on="__b", how="inner")

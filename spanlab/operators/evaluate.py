@@ -63,8 +63,11 @@ def inverted_intervals(df: DataFrame, lo: str = "MIN", hi: str = "MAX") -> DataF
 
 
 def repair_intervals(df: DataFrame, lo: str = "MIN", hi: str = "MAX") -> DataFrame:
-    """Swap bounds so that lo <= hi (idempotent)."""
-    return df.withColumns({lo: F.least(F.col(lo), F.col(hi)), hi: F.greatest(F.col(lo), F.col(hi))})
+    """Swap bounds so that lo <= hi (idempotent); a row with a NULL bound is kept
+    as it is (``least``/``greatest`` alone would copy the other bound)."""
+    swap = F.col(lo) > F.col(hi)
+    return df.withColumns({lo: F.when(swap, F.col(hi)).otherwise(F.col(lo)),
+                           hi: F.when(swap, F.col(lo)).otherwise(F.col(hi))})
 
 
 def average_predictions(*dfs: DataFrame, key: str = "id", cols: Sequence[str] = ("MIN", "MAX")) -> DataFrame:

@@ -223,7 +223,9 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     for c in cols:
         lo, hi = float(r[f"lo_{c}"]), float(r[f"hi_{c}"])
         w = (hi - lo) / bins if hi > lo else 1.0
-        idx[c] = F.least(F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(w)).cast("int"), F.lit(bins - 1))
+        # least() skips NULLs, so a NULL value must stay NULL explicitly
+        idx[c] = F.when(F.col(c).isNotNull(), F.least(
+            F.floor((F.col(c).cast("double") - F.lit(lo)) / F.lit(w)).cast("int"), F.lit(bins - 1)))
     pairs = [F.struct(F.lit(a).alias("var_a"), F.lit(b).alias("var_b"), idx[a].alias("bin_a"), idx[b].alias("bin_b"))
              for i, a in enumerate(cols) for b in cols[i + 1:]]
     e = df.select(F.explode(F.array(*pairs)).alias("p")).select("p.*").filter(
