@@ -105,12 +105,50 @@ def _cells_dense(arr: DataFrame, key: str, seed: int, max_pivots: int, points_pe
     return pts, grid, own, stats
 
 
-def _pairs_dense(pts, own, cand, key):
-    q = cand.join(pts, key).select(F.col(key).alias("x"), "cell", "r", F.col("vec").alias("vx"))
-    m = own.select(F.col(key).alias("y"), "cell").join(pts.withColumnRenamed(key, "y"), "y")
-    d = q.join(m, "cell").filter(F.col("x") != F.col("y")).select(
-        "x", "y", "r", F.sqrt(_sqdist(F.col("vx"), F.col("vec"))).alias("dist"))
-    return d.filter(F.col("dist") <= F.col("r") + F.lit(1e-9))
+def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int = 4):
+    """Exact distances from each query point to the members of its candidate
+    cells, computed per cell with numpy (cogrouped Arrow batches): the query
+    side and the member side of one cell meet in one task, and only the pairs
+    within the query's radius — its k nearest when ``k`` is given — leave the
+    task.  Queries of a cell are split into ``query_chunks`` hash chunks (the
+    member side is replicated per chunk) so a crowded cell spreads over tasks."""
+    import numpy as np
+    import pandas as pd
+
+    q = (cand.join(pts, key).select("cell", F.col(key).cast("long").alias("x"), "r", F.col("vec").alias("vx"))
+         .withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(query_chunks))))
+    m = (own.select(F.col(key).alias("y"), "cell").join(pts.withColumnRenamed(key, "y"), "y")
+         .select("cell", F.col("y").cast("long").alias("y"), "vec")
+         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1)))))
+
+    def block(qd: pd.DataFrame, md: pd.DataFrame) -> pd.DataFrame:
+        if qd.empty or md.empty:
+            return pd.DataFrame({"x": pd.Series([], dtype="int64"), "y": pd.Series([], dtype="int64"),
+                                 "dist": pd.Series([], dtype="float64")})
+        X = np.vstack(qd["vx"].to_numpy()).astype(np.float64)
+        Y = np.vstack(md["vec"].to_numpy()).astype(np.float64)
+        xs, ys, r = qd["x"].to_numpy(), md["y"].to_numpy(), qd["r"].to_numpy()
+        out_x, out_y, out_d = [], [], []
+        step = max(1, 2_000_000 // max(1, Y.shape[0] * Y.shape[1]))
+        for i in range(0, X.shape[0], step):
+            diff = X[i:i + step, None, :] - Y[None, :, :]
+            d2 = np.einsum("ijk,ijk->ij", diff, diff)
+            xi = xs[i:i + step]
+            ok = (xi[:, None] != ys[None, :]) & (d2 <= (r[i:i + step, None] + 1e-9) ** 2)
+            for a in range(d2.shape[0]):
+                js = np.nonzero(ok[a])[0]
+                if k is not None and len(js) > k:
+                    order = np.lexsort((ys[js], np.round(d2[a, js], 9)))
+                    js = js[order[:k]]
+                out_x.append(np.full(len(js), xi[a]))
+                out_y.append(ys[js])
+                out_d.append(np.sqrt(d2[a, js]))
+        return pd.DataFrame({"x": np.concatenate(out_x) if out_x else np.array([], "int64"),
+                             "y": np.concatenate(out_y) if out_y else np.array([], "int64"),
+                             "dist": np.concatenate(out_d) if out_d else np.array([], "float64")})
+
+    return (q.groupBy("cell", "chunk").cogroup(m.groupBy("cell", "chunk"))
+            .applyInPandas(block, "x long, y long, dist double"))
 
 
 def _radius_knn(grid, stats, pts, key, k):
@@ -129,7 +167,7 @@ def knn_dense(arr: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots
     same pivot cells: (key, nbr, dist, rank)."""
     pts, grid, own, stats = _cells_dense(arr, key, seed, max_pivots, points_per_cell)
     cand = _candidates(grid, own, stats, key, _radius_knn(grid, stats, pts, key, k))
-    d = _pairs_dense(pts, own, cand, key)
+    d = _pairs_dense(pts, own, cand, key, k)  # per-cell top-k: ≤ k × candidate cells rows per point
     # order on distance rounded to 1e-9 (squared) so that last-bit summation noise
     # cannot reorder equal distances; ties go to the smaller key
     wr = Window.partitionBy("x").orderBy(F.round(F.col("dist") * F.col("dist"), 9), "y")
