@@ -195,3 +195,87 @@ def fit_regression_impute(train: DataFrame, cols: Sequence[str], rounds: int = 1
             break
         prev = flat
     return RegressionImputeModel(coefs)
+
+
+# ---------------------------------------------------------------------------
+# Nearest-neighbour imputation
+# ---------------------------------------------------------------------------
+def _dedupe_donors(donors: DataFrame, key: str, k: int, salts: int = 64) -> DataFrame:
+    """Keep at most ``k`` donors (the smallest keys) per identical feature
+    vector: with ties broken by key, no other member of an identical group can
+    ever be among the k nearest.  Two stages (salted, then merged) so that a
+    vector shared by a third of the rows is never one window partition."""
+    from pyspark.sql import Window
+
+    w1 = Window.partitionBy("vec", "__salt").orderBy(key)
+    first = (donors.withColumn("__salt", F.pmod(F.xxhash64(F.col(key)), F.lit(salts)))
+             .withColumn("__r", F.row_number().over(w1)).filter(F.col("__r") <= k).drop("__r", "__salt"))
+    w2 = Window.partitionBy("vec").orderBy(key)  # ≤ k × salts rows per vector now
+    return first.withColumn("__r", F.row_number().over(w2)).filter(F.col("__r") <= k).drop("__r")
+
+
+class KnnImputeModel:
+    """Fills ``target`` from the k nearest donors: mean (numeric) or most
+    frequent value, ties to the smallest (nominal)."""
+
+    def __init__(self, target: str, donors: DataFrame, vec_fn, k: int, key: str, nominal: bool, metric: str,
+                 scale: float = 1.0):
+        self.target, self.donors, self.vec_fn, self.k, self.key = target, donors, vec_fn, k, key
+        self.nominal, self.metric, self.scale = nominal, metric, scale
+
+    def neighbours(self, df: DataFrame) -> DataFrame:
+        from .neighbors import knn_between
+
+        rec = df.filter(F.col(self.target).isNull()).select(self.key, self.vec_fn().alias("vec"))
+        nn = knn_between(rec, self.donors.select(self.key, "vec"), self.k, key=self.key, metric=self.metric)
+        return nn.withColumn("dist", F.col("dist") / F.lit(self.scale))
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        k, t = self.key, self.target
+        nn = self.neighbours(df).join(self.donors.select(F.col(k).alias("nbr"), F.col(t).alias("__v")), "nbr")
+        if self.nominal:
+            cnt = nn.groupBy(k, "__v").agg(F.count(F.lit(1)).alias("__n"))
+            fill = cnt.groupBy(k).agg(F.min_by("__v", F.struct((-F.col("__n")).alias("n"), F.col("__v").alias("v")))
+                                      .alias("__fill"))
+        else:
+            fill = nn.groupBy(k).agg(F.avg("__v").alias("__fill"))
+        return (df.join(fill, k, "left").withColumn(t, F.coalesce(F.col(t), F.col("__fill").cast(df.schema[t].dataType)))
+                .drop("__fill"))
+
+
+def fit_knn(train: DataFrame, target: str, features: Sequence[str], k: int = 5, key: str = "id") -> KnnImputeModel:
+    """Numeric k-NN imputation (uniform weights).  The distance columns must be
+    complete; the nan-Euclidean weight ``p / present`` is then one constant per
+    receiver, so the neighbour order is the Euclidean one.  Donors are the
+    training rows with ``target`` present; exact neighbours (pivot cells)."""
+    feats = list(features)
+
+    def vec():
+        return F.array(*[F.col(c).cast("double") for c in feats])
+
+    donors = train.filter(F.col(target).isNotNull()).select(key, target, vec().alias("vec"))
+    return KnnImputeModel(target, _dedupe_donors(donors, key, k), vec, k, key, nominal=False, metric="euclidean")
+
+
+def fit_knn_nominal(train: DataFrame, target: str, numeric: Sequence[str], nominal: Sequence[str], k: int = 5,
+                    key: str = "id") -> KnnImputeModel:
+    """Nominal k-NN imputation under the Gower distance (mean over variables of
+    |x−y|/range for numerics and a 0/1 mismatch for factors), majority vote.
+    Gower = L1 on a vector of range-scaled numerics and half-weighted one-hot
+    factors, divided by the variable count, so the L1 pivot cells apply.
+    Ranges and level lists come from ``train`` (one aggregate; level lists are
+    bounded by the factors' cardinality)."""
+    num, cats = list(numeric), list(nominal)
+    r = train.agg(*[(F.max(c) - F.min(c)).alias(c) for c in num]).first() if num else {}
+    ranges = {c: (float(r[c]) if r[c] else 1.0) for c in num}
+    levels = {c: sorted(x[0] for x in train.select(c).filter(F.col(c).isNotNull()).distinct().collect())
+              for c in cats}
+
+    def vec():
+        parts = [F.col(c).cast("double") / F.lit(ranges[c]) for c in num]
+        parts += [F.when(F.col(c) == F.lit(v), 0.5).otherwise(0.0) for c in cats for v in levels[c]]
+        return F.array(*parts)
+
+    donors = train.filter(F.col(target).isNotNull()).select(key, target, vec().alias("vec"))
+    return KnnImputeModel(target, _dedupe_donors(donors, key, k), vec, k, key, nominal=True, metric="manhattan",
+                          scale=float(len(num) + len(cats)))

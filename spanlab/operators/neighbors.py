@@ -82,30 +82,50 @@ def _pairs(vec, own, cand, key):
     return d.filter(F.col("dist") <= F.col("r") + F.lit(1e-9))
 
 
-def _sqdist(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda acc, x: acc + x)
+def _dist(a, b, metric: str = "euclidean"):
+    """Distance of two equal-length arrays, JVM-side higher-order functions."""
+    if metric == "manhattan":
+        return F.aggregate(F.zip_with(a, b, lambda p, q: F.abs(p - q)), F.lit(0.0), lambda acc, x: acc + x)
+    return F.sqrt(F.aggregate(F.zip_with(a, b, lambda p, q: (p - q) * (p - q)), F.lit(0.0), lambda acc, x: acc + x))
 
 
-def _cells_dense(arr: DataFrame, key: str, seed: int, max_pivots: int, points_per_cell: int):
+def _tie_key(metric: str):
+    """Ranking key: the distance (squared for Euclidean) rounded to 1e-9, so
+    last-bit summation noise cannot reorder equal distances."""
+    d = F.col("dist")
+    return F.round(d * d if metric == "euclidean" else d, 9)
+
+
+def _pivot_grid(pts, piv_ids, piv, key, metric):
+    # every point meets each of the P pivots (P ≤ max_pivots, broadcast, equi-join on the pivot id)
+    return (pts.withColumn("pivot", F.explode(F.array(*[F.lit(i) for i in piv_ids])))
+            .join(F.broadcast(piv), "pivot")
+            .select(key, "pivot", _dist(F.col("vec"), F.col("pvec"), metric).alias("d"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _own(grid, key):
+    return (grid.groupBy(key).agg(F.min_by(F.struct("pivot", "d"), F.struct("d", "pivot")).alias("o"))
+            .select(key, F.col("o.pivot").alias("cell"), F.col("o.d").alias("d_own"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def _cells_dense(arr: DataFrame, key: str, seed: int, max_pivots: int, points_per_cell: int,
+                 metric: str = "euclidean"):
     """Dense variant of ``_cells``: arrays, distances by ``zip_with`` (JVM-side)."""
     pts = arr.select(key, F.col("vec").cast("array<double>").alias("vec")).persist(StorageLevel.MEMORY_AND_DISK)
     n = pts.count()
     p = max(1, min(max_pivots, n // max(1, points_per_cell)))
     piv_ids = [r[0] for r in pts.select(key).orderBy(hash_unit(key, f"pivot{seed}"), key).limit(p).collect()]
     piv = pts.filter(F.col(key).isin(piv_ids)).select(F.col(key).alias("pivot"), F.col("vec").alias("pvec"))
-    # every point meets each of the P pivots (P ≤ max_pivots, broadcast, equi-join on the pivot id)
-    grid = (pts.withColumn("pivot", F.explode(F.array(*[F.lit(i) for i in piv_ids])))
-            .join(F.broadcast(piv), "pivot")
-            .select(key, "pivot", F.sqrt(_sqdist(F.col("vec"), F.col("pvec"))).alias("d"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
-    own = (grid.groupBy(key).agg(F.min_by(F.struct("pivot", "d"), F.struct("d", "pivot")).alias("o"))
-           .select(key, F.col("o.pivot").alias("cell"), F.col("o.d").alias("d_own"))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    grid = _pivot_grid(pts, piv_ids, piv, key, metric)
+    own = _own(grid, key)
     stats = own.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"), F.max("d_own").alias("rad"))
-    return pts, grid, own, stats
+    return pts, grid, own, stats, (piv_ids, piv)
 
 
-def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int = 4):
+def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int = 4, metric: str = "euclidean",
+                 members=None, exclude_self: bool = True):
     """Exact distances from each query point to the members of its candidate
     cells, computed per cell with numpy (cogrouped Arrow batches): the query
     side and the member side of one cell meet in one task, and only the pairs
@@ -115,16 +135,19 @@ def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int =
     import numpy as np
     import pandas as pd
 
+    mpts = pts if members is None else members
     q = (cand.join(pts, key).select("cell", F.col(key).cast("long").alias("x"), "r", F.col("vec").alias("vx"))
          .withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(query_chunks))))
-    m = (own.select(F.col(key).alias("y"), "cell").join(pts.withColumnRenamed(key, "y"), "y")
+    m = (own.select(F.col(key).alias("y"), "cell").join(mpts.withColumnRenamed(key, "y"), "y")
          .select("cell", F.col("y").cast("long").alias("y"), "vec")
          .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1)))))
+    manhattan = metric == "manhattan"
 
     def block(qd: pd.DataFrame, md: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"x": pd.Series([], dtype="int64"), "y": pd.Series([], dtype="int64"),
+                              "dist": pd.Series([], dtype="float64")})
         if qd.empty or md.empty:
-            return pd.DataFrame({"x": pd.Series([], dtype="int64"), "y": pd.Series([], dtype="int64"),
-                                 "dist": pd.Series([], dtype="float64")})
+            return empty
         X = np.vstack(qd["vx"].to_numpy()).astype(np.float64)
         Y = np.vstack(md["vec"].to_numpy()).astype(np.float64)
         xs, ys, r = qd["x"].to_numpy(), md["y"].to_numpy(), qd["r"].to_numpy()
@@ -132,54 +155,80 @@ def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int =
         step = max(1, 2_000_000 // max(1, Y.shape[0] * Y.shape[1]))
         for i in range(0, X.shape[0], step):
             diff = X[i:i + step, None, :] - Y[None, :, :]
-            d2 = np.einsum("ijk,ijk->ij", diff, diff)
+            if manhattan:
+                dd = np.abs(diff).sum(-1)
+                ok = dd <= r[i:i + step, None] + 1e-9
+                tie = np.round(dd, 9)
+            else:
+                dd = np.einsum("ijk,ijk->ij", diff, diff)
+                ok = dd <= (r[i:i + step, None] + 1e-9) ** 2
+                tie = np.round(dd, 9)
             xi = xs[i:i + step]
-            ok = (xi[:, None] != ys[None, :]) & (d2 <= (r[i:i + step, None] + 1e-9) ** 2)
-            for a in range(d2.shape[0]):
-                js = np.nonzero(ok[a])[0]
+            if exclude_self:
+                ok &= xi[:, None] != ys[None, :]
+            for a_ in range(dd.shape[0]):
+                js = np.nonzero(ok[a_])[0]
                 if k is not None and len(js) > k:
-                    order = np.lexsort((ys[js], np.round(d2[a, js], 9)))
-                    js = js[order[:k]]
-                out_x.append(np.full(len(js), xi[a]))
+                    js = js[np.lexsort((ys[js], tie[a_, js]))[:k]]
+                out_x.append(np.full(len(js), xi[a_]))
                 out_y.append(ys[js])
-                out_d.append(np.sqrt(d2[a, js]))
-        return pd.DataFrame({"x": np.concatenate(out_x) if out_x else np.array([], "int64"),
-                             "y": np.concatenate(out_y) if out_y else np.array([], "int64"),
-                             "dist": np.concatenate(out_d) if out_d else np.array([], "float64")})
+                out_d.append(dd[a_, js] if manhattan else np.sqrt(dd[a_, js]))
+        if not out_x:
+            return empty
+        return pd.DataFrame({"x": np.concatenate(out_x), "y": np.concatenate(out_y), "dist": np.concatenate(out_d)})
 
     return (q.groupBy("cell", "chunk").cogroup(m.groupBy("cell", "chunk"))
             .applyInPandas(block, "x long, y long, dist double"))
 
 
-def _radius_knn(grid, stats, pts, key, k):
+def _radius_knn(grid, stats, pts, key, need):
+    """Per query: smallest bound ``d(x, pivot) + radius`` whose cells hold
+    ``need`` points (a valid upper bound on the distance to the need-th point)."""
     ub = (grid.join(F.broadcast(stats.withColumnRenamed("cell", "pivot")), "pivot")
           .withColumn("ub", F.col("d") + F.col("rad")))
     w = Window.partitionBy(key).orderBy("ub", "pivot").rowsBetween(Window.unboundedPreceding, 0)
-    radius = (ub.withColumn("cum", F.sum("cnt").over(w)).filter(F.col("cum") >= k + 1)
+    radius = (ub.withColumn("cum", F.sum("cnt").over(w)).filter(F.col("cum") >= need)
               .groupBy(key).agg(F.min("ub").alias("r")))
-    # fewer than k+1 points in total: every cell is a candidate
+    # fewer points than needed in total: every cell is a candidate
     return pts.select(key).join(radius, key, "left").fillna(float("inf"), subset=["r"])
 
 
-def knn_dense(arr: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int = 1024,
-              points_per_cell: int = 50) -> DataFrame:
-    """Exact Euclidean k-NN of dense vectors (``arr``: key, vec array) on the
-    same pivot cells: (key, nbr, dist, rank)."""
-    pts, grid, own, stats = _cells_dense(arr, key, seed, max_pivots, points_per_cell)
-    cand = _candidates(grid, own, stats, key, _radius_knn(grid, stats, pts, key, k))
-    d = _pairs_dense(pts, own, cand, key, k)  # per-cell top-k: ≤ k × candidate cells rows per point
-    # order on distance rounded to 1e-9 (squared) so that last-bit summation noise
-    # cannot reorder equal distances; ties go to the smaller key
-    wr = Window.partitionBy("x").orderBy(F.round(F.col("dist") * F.col("dist"), 9), "y")
+def _top_k(d, key, k, metric):
+    wr = Window.partitionBy("x").orderBy(_tie_key(metric), "y")
     return (d.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
             .select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist", "rank"))
 
 
+def knn_dense(arr: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int = 1024,
+              points_per_cell: int = 50, metric: str = "euclidean") -> DataFrame:
+    """Exact k-NN of dense vectors (``arr``: key, vec array) on the pivot cells:
+    (key, nbr, dist, rank); ties go to the smaller key."""
+    pts, grid, own, stats, _ = _cells_dense(arr, key, seed, max_pivots, points_per_cell, metric)
+    cand = _candidates(grid, own, stats, key, _radius_knn(grid, stats, pts, key, k + 1))
+    d = _pairs_dense(pts, own, cand, key, k, metric=metric)  # per-cell top-k: ≤ k × candidate cells rows per point
+    return _top_k(d, key, k, metric)
+
+
+def knn_between(queries: DataFrame, refs: DataFrame, k: int, key: str = "id", seed: int = 0,
+                max_pivots: int = 1024, points_per_cell: int = 50, metric: str = "euclidean") -> DataFrame:
+    """Exact k nearest ``refs`` of every ``queries`` row (both: key, vec array).
+    Cells are built on the references; a query is routed to its nearest pivot
+    and the same bounds prune the cells it must visit."""
+    pts, grid, own, stats, (piv_ids, piv) = _cells_dense(refs, key, seed, max_pivots, points_per_cell, metric)
+    qpts = queries.select(key, F.col("vec").cast("array<double>").alias("vec")).persist(StorageLevel.MEMORY_AND_DISK)
+    qgrid = _pivot_grid(qpts, piv_ids, piv, key, metric)
+    qown = _own(qgrid, key)
+    cand = _candidates(qgrid, qown, stats, key, _radius_knn(qgrid, stats, qpts, key, k))
+    d = _pairs_dense(qpts, own, cand, key, k, metric=metric, members=pts, exclude_self=False)
+    return _top_k(d, key, k, metric)
+
+
 def within_dense(arr: DataFrame, radius: DataFrame, key: str = "id", seed: int = 0, max_pivots: int = 1024,
-                 points_per_cell: int = 50) -> DataFrame:
-    pts, grid, own, stats = _cells_dense(arr, key, seed, max_pivots, points_per_cell)
+                 points_per_cell: int = 50, metric: str = "euclidean") -> DataFrame:
+    pts, grid, own, stats, _ = _cells_dense(arr, key, seed, max_pivots, points_per_cell, metric)
     cand = _candidates(grid, own, stats, key, radius)
-    return _pairs_dense(pts, own, cand, key).select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist")
+    return _pairs_dense(pts, own, cand, key, metric=metric).select(
+        F.col("x").alias(key), F.col("y").alias("nbr"), "dist")
 
 
 def knn(vec: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int = 1024,
@@ -189,7 +238,7 @@ def knn(vec: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int
     seen by the join, so sparse inputs rank among points with a positive dot
     product (for Hellinger vectors: documents sharing a term)."""
     spark, pts, grid, own, stats = _cells(vec, key, seed, max_pivots, points_per_cell)
-    cand = _candidates(grid, own, stats, key, _radius_knn(grid, stats, pts, key, k))
+    cand = _candidates(grid, own, stats, key, _radius_knn(grid, stats, pts, key, k + 1))
     d = _pairs(vec, own, cand, key)
     # order on distance rounded to 1e-9 (squared) so that last-bit summation noise
     # cannot reorder equal distances; ties go to the smaller key

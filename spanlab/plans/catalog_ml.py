@@ -326,3 +326,53 @@ def q_experiment_table(spark, sf):
     path = io.scratch_path(spark, "results")
     io.write_results(res, path)
     return spark.read.parquet(path)
+
+
+# ---------------------------------------------------------------------------
+# Nearest-neighbour imputation (N10, N11) and the closed-form OLS check (M5)
+# ---------------------------------------------------------------------------
+@register("impute_knn", """
+, r AS (SELECT id, screen_size AS a, ram AS b, ssd AS c FROM listing WHERE weight IS NULL),
+d AS (SELECT id, screen_size AS a, ram AS b, ssd AS c, weight FROM listing WHERE weight IS NOT NULL),
+p AS (SELECT r.id, d.id AS did, d.weight,
+        (r.a - d.a) * (r.a - d.a) + (r.b - d.b) * (r.b - d.b) + (r.c - d.c) * (r.c - d.c) AS d2
+      FROM r CROSS JOIN d),
+k AS (SELECT id, weight, row_number() OVER (PARTITION BY id ORDER BY round(d2, 9), did) AS rk FROM p),
+f AS (SELECT id, avg(weight) AS fill FROM k WHERE rk <= 5 GROUP BY id)
+SELECT l.id, round(coalesce(l.weight, f.fill), 6) AS weight FROM listing l LEFT JOIN f ON l.id = f.id""")
+def q_impute_knn(spark, sf):
+    df = L(spark, sf).select("id", "screen_size", "ram", "ssd", "weight")
+    m = impute.fit_knn(df, "weight", ["screen_size", "ram", "ssd"], k=5)
+    return m.transform(df).select("id", C.r6("weight").alias("weight"))
+
+
+@register("impute_knn_nominal", """
+, rng AS (SELECT max(screen_size) - min(screen_size) AS ra, max(ram) - min(ram) AS rb, max(ssd) - min(ssd) AS rc
+          FROM listing),
+r AS (SELECT id, screen_size AS a, ram AS b, ssd AS c, brand, cpu FROM listing WHERE os IS NULL),
+d AS (SELECT id, screen_size AS a, ram AS b, ssd AS c, brand, cpu, os FROM listing WHERE os IS NOT NULL),
+p AS (SELECT r.id, d.id AS did, d.os,
+        abs(r.a - d.a) / rng.ra + abs(r.b - d.b) / rng.rb + abs(r.c - d.c) / rng.rc
+        + CASE WHEN r.brand = d.brand THEN 0 ELSE 1 END + CASE WHEN r.cpu = d.cpu THEN 0 ELSE 1 END AS g
+      FROM r CROSS JOIN d CROSS JOIN rng),
+k AS (SELECT id, os, row_number() OVER (PARTITION BY id ORDER BY round(g, 9), did) AS rk FROM p),
+v AS (SELECT id, os, count(*) AS n FROM k WHERE rk <= 5 GROUP BY id, os),
+f AS (SELECT id, os AS fill FROM (SELECT id, os, row_number() OVER (PARTITION BY id ORDER BY n DESC, os) AS rn
+      FROM v) WHERE rn = 1)
+SELECT l.id, coalesce(l.os, f.fill) AS os FROM listing l LEFT JOIN f ON l.id = f.id""")
+def q_impute_knn_nominal(spark, sf):
+    df = L(spark, sf).select("id", "screen_size", "ram", "ssd", "brand", "cpu", "os")
+    m = impute.fit_knn_nominal(df, "os", ["screen_size", "ram", "ssd"], ["brand", "cpu"], k=5)
+    return m.transform(df).select("id", "os")
+
+
+@register("ols_one_feature", "SELECT round(regr_intercept(max_price, screen_size), 4) AS intercept, "
+                             "round(regr_slope(max_price, screen_size), 4) AS slope FROM listing")
+def q_ols_one_feature(spark, sf):
+    from pyspark.ml.feature import VectorAssembler
+    from pyspark.ml.regression import LinearRegression
+
+    df = VectorAssembler(inputCols=["screen_size"], outputCol="f").transform(L(spark, sf))
+    m = LinearRegression(featuresCol="f", labelCol="max_price", regParam=0.0, solver="normal").fit(df)
+    return spark.createDataFrame([(round(float(m.intercept), 4), round(float(m.coefficients[0]), 4))],
+                                 "intercept double, slope double")
