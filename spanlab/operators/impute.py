@@ -268,8 +268,9 @@ def fit_knn_nominal(train: DataFrame, target: str, numeric: Sequence[str], nomin
     num, cats = list(numeric), list(nominal)
     r = train.agg(*[(F.max(c) - F.min(c)).alias(c) for c in num]).first() if num else {}
     ranges = {c: (float(r[c]) if r[c] else 1.0) for c in num}
-    levels = {c: sorted(x[0] for x in train.select(c).filter(F.col(c).isNotNull()).distinct().collect())
-              for c in cats}
+    from .encode import fit_levels
+
+    levels = fit_levels(train, cats)  # bounded: raises above MAX_LEVELS distinct levels
 
     def vec():
         parts = [F.col(c).cast("double") / F.lit(ranges[c]) for c in num]
