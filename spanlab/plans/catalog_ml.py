@@ -376,3 +376,58 @@ def q_ols_one_feature(spark, sf):
     m = LinearRegression(featuresCol="f", labelCol="max_price", regParam=0.0, solver="normal").fit(df)
     return spark.createDataFrame([(round(float(m.intercept), 4), round(float(m.coefficients[0]), 4))],
                                  "intercept double, slope double")
+
+
+# ---------------------------------------------------------------------------
+# Extension surface
+# ---------------------------------------------------------------------------
+def _stages_sql():
+    from . import sqltext as S
+    from .catalog import _FIXED
+
+    return (f"SELECT id, {_FIXED['screen_surface']} AS screen_surface, {S.hd_sql()} AS hd_resolution_category, "
+            f"{S.ssd_sql()} AS ssd_category, {S.storage_sql()} AS storage_category, "
+            f"{S.freq_sql(strict=True)} AS cpu_frequency FROM listing")
+
+
+@register("feature_stages_pipeline", _stages_sql())
+def q_feature_stages_pipeline(spark, sf):
+    """The feature operators as saveable pipeline stages: fit, save, load, transform."""
+    from pyspark.ml import Pipeline, PipelineModel
+
+    from ..operators import stages as ST
+
+    pipe = Pipeline(stages=[ST.SurfaceFixer(), ST.HdCategorizer(), ST.SizeCategorizer("ssd"),
+                            ST.SizeCategorizer("storage"), ST.CpuFrequencyExtractor()])
+    df = L(spark, sf)
+    path = io.scratch_path(spark, "stages")
+    pipe.fit(df).write().overwrite().save(path)
+    out = PipelineModel.load(path).transform(df)
+    return out.select("id", "screen_surface", "hd_resolution_category", "ssd_category", "storage_category",
+                      "cpu_frequency")
+
+
+@register("fn_stage", "SELECT id, max_price - min_price AS max_min_difference FROM listing")
+def q_fn_stage(spark, sf):
+    from pyspark.ml import Pipeline
+
+    from ..operators import features
+    from ..operators import stages as ST
+
+    df = L(spark, sf).select("id", "min_price", "max_price")
+    model = Pipeline(stages=[ST.FnTransformer(features.price_spread)]).fit(df)
+    return model.transform(df).select("id", "max_min_difference")
+
+
+@register("metric_set", """SELECT round(avg(abs(l.max_price - p.pmx)), 6) AS mae,
+  round(sqrt(avg((l.max_price - p.pmx) * (l.max_price - p.pmx))), 6) AS rmse,
+  round(1 - sum((l.max_price - p.pmx) * (l.max_price - p.pmx)) / (count(l.max_price) * var_pop(l.max_price)), 6)
+    AS rsq_trad
+FROM listing l JOIN preds p ON l.id = p.id""")
+def q_metric_set(spark, sf):
+    from ..operators import stages as ST
+    from ..sources import fixtures as fx
+
+    j = L(spark, sf).join(fx.preds(spark, sf), "id")
+    m = ST.metric_set(j, "max_price", "pmx")
+    return m.select(*[C.r6(c).alias(c) for c in m.columns])
