@@ -431,3 +431,25 @@ def q_metric_set(spark, sf):
     j = L(spark, sf).join(fx.preds(spark, sf), "id")
     m = ST.metric_set(j, "max_price", "pmx")
     return m.select(*[C.r6(c).alias(c) for c in m.columns])
+
+
+@register("crossvalidator_interval")
+def q_crossvalidator_interval(spark, sf):
+    """The built-in path of T1/T2: ``CrossValidator`` over a param grid with the
+    deterministic fold column, the MAE ``Evaluator`` (U4) and parallel fits."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.regression import DecisionTreeRegressor
+    from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+
+    from ..operators.sample import with_folds
+
+    df = M.cast_numeric(with_folds(L(spark, sf), 3, "id", shuffle=True, seed=0))
+    tree = DecisionTreeRegressor(labelCol="max_price", seed=1)
+    pipe = Pipeline(stages=M.preprocessing() + [tree])
+    grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 4, 6]).build()
+    cv = CrossValidator(estimator=pipe, estimatorParamMaps=grid, foldCol="fold", parallelism=3,
+                        evaluator=evaluate.IntervalMAEEvaluator(labelCol="max_price", predictionCol="prediction"))
+    model = cv.fit(df)
+    rows = [(i, int(pm[tree.maxDepth]), float(m), float(s))
+            for i, (pm, m, s) in enumerate(zip(grid, model.avgMetrics, model.stdMetrics))]
+    return spark.createDataFrame(rows, "config_id int, max_depth int, mean_mae double, std_mae double")

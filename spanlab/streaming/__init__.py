@@ -1 +1,8 @@
-"""spanlab."""
+"""Streaming: intentionally empty.
+
+The reference has no streaming surface (no watermarks, event-time windows,
+stateful operators or late-data rules; SURVEY §2.12), so nothing is built here.
+Fitted pipelines made only of row-local stages (``operators.stages`` and the
+``IntervalModel`` preprocessing + regressors) can score a ``readStream`` frame
+unchanged — that is a Spark property, not an operator of this package.
+"""
