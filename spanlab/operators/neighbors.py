@@ -302,7 +302,9 @@ def density_clusters(arr: DataFrame, eps: float | None = None, min_samples: int
     defaults to the ``eps_quantile`` of the core distances."""
     core = core_distances(arr, min_samples, key, **kw).persist(StorageLevel.MEMORY_AND_DISK)
     if eps is None:
-        eps = float(core.agg(F.percentile("core", eps_quantile)).first()[0])
+        from ..functions.stats import exact_quantiles
+
+        eps = float(exact_quantiles(core, "core", [eps_quantile])[0])  # bounded-memory exact quantile
     cores = core.filter(F.col("core") <= F.lit(eps))
     core_arr = arr.join(cores.select(key), key)
     edges = within_dense(core_arr, cores.select(key, F.lit(float(eps)).alias("r")), key, **kw)

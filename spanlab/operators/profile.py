@@ -15,7 +15,7 @@ from pyspark.sql.types import NumericType
 
 from ..functions.columns import inverse_normal_sql
 from ..functions.ranking import value_ranks
-from ..functions.stats import exact_quantiles, exact_quantiles_many
+from ..functions.stats import exact_quantiles, exact_quantiles_many, grouped_exact_quantiles
 from .clean import numeric_columns
 
 
@@ -186,15 +186,27 @@ def letter_value_probs(depth: int = 4) -> list[float]:
     return probs
 
 
+PERCENTILE_MAX_DISTINCT = 2_000_000  # distinct values one task may merge for an exact group quantile
+
+
 def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: Sequence[float],
                       accuracy: int | None = None) -> DataFrame:
-    """Per-group quantiles.  Exact (``percentile``: linear interpolation, memory per
-    group ∝ its distinct values) or, with ``accuracy``, the bounded-memory sketch."""
+    """Per-group quantiles: exact (linear interpolation) or, with ``accuracy``,
+    the bounded-memory sketch.
+
+    The exact built-in ``percentile`` merges the distinct values of one group
+    in one task, so it is used only after a size check (largest group's
+    distinct-value count ≤ ``PERCENTILE_MAX_DISTINCT``); above it, the
+    distributed rank path (``grouped_exact_quantiles``) is taken."""
     x = F.col(col).cast("double")
-    if accuracy:
-        q = F.percentile_approx(x, list(probs), accuracy)
-    else:
+    if not accuracy:
+        widest = (df.filter(x.isNotNull()).groupBy(*by, x.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
+                  .groupBy(*by).agg(F.count(F.lit(1)).alias("__d")).agg(F.max("__d")).first()[0]) or 0
+        if widest > PERCENTILE_MAX_DISTINCT:
+            return grouped_exact_quantiles(df, col, by, probs)
         q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
+    else:
+        q = F.percentile_approx(x, list(probs), accuracy)
     return df.groupBy(*by).agg(F.count(x).alias("n"), q.alias("__q")).select(
         *by, "n", *[F.col("__q")[i].alias(f"q{i}") for i in range(len(probs))])
 
