@@ -127,3 +127,11 @@ def learning_curve_sizes(df: DataFrame, fractions: Sequence[float] = (0.1, 0.325
         cond = F.col("__rank") <= m
         expr = F.when(cond, i) if expr is None else expr.when(cond, i)
     return r.withColumn("subset", expr).drop("__rank")
+
+
+def split(df: DataFrame, frac: float = 0.75, key: str = "id", seed: int | str = 0, exact: bool = False,
+          labels: tuple[str, str] = ("train", "test")) -> DataFrame:
+    """Two-way split column: exact size (distributed rank) or hash threshold."""
+    if exact:
+        return split_exact(df, frac, key, seed, labels)
+    return split_hash(df, frac, key, seed, labels)
