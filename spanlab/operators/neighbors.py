@@ -199,6 +199,15 @@ def _top_k(d, key, k, metric):
             .select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist", "rank"))
 
 
+def _finish(result: DataFrame, *cached: DataFrame) -> DataFrame:
+    """Materialise an operator's result with a reliable checkpoint (shared
+    folder; survives executor loss) and release its cached intermediates."""
+    out = cut_lineage(result)
+    for c in cached:
+        c.unpersist()
+    return out
+
+
 def knn_dense(arr: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int = 1024,
               points_per_cell: int = 50, metric: str = "euclidean") -> DataFrame:
     """Exact k-NN of dense vectors (``arr``: key, vec array) on the pivot cells:
@@ -206,7 +215,7 @@ def knn_dense(arr: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots
     pts, grid, own, stats, _ = _cells_dense(arr, key, seed, max_pivots, points_per_cell, metric)
     cand = _candidates(grid, own, stats, key, _radius_knn(grid, stats, pts, key, k + 1))
     d = _pairs_dense(pts, own, cand, key, k, metric=metric)  # per-cell top-k: ≤ k × candidate cells rows per point
-    return _top_k(d, key, k, metric)
+    return _finish(_top_k(d, key, k, metric), pts, grid, own)
 
 
 def knn_between(queries: DataFrame, refs: DataFrame, k: int, key: str = "id", seed: int = 0,
@@ -220,15 +229,15 @@ def knn_between(queries: DataFrame, refs: DataFrame, k: int, key: str = "id", se
     qown = _own(qgrid, key)
     cand = _candidates(qgrid, qown, stats, key, _radius_knn(qgrid, stats, qpts, key, k))
     d = _pairs_dense(qpts, own, cand, key, k, metric=metric, members=pts, exclude_self=False)
-    return _top_k(d, key, k, metric)
+    return _finish(_top_k(d, key, k, metric), pts, grid, own, qpts, qgrid, qown)
 
 
 def within_dense(arr: DataFrame, radius: DataFrame, key: str = "id", seed: int = 0, max_pivots: int = 1024,
                  points_per_cell: int = 50, metric: str = "euclidean") -> DataFrame:
     pts, grid, own, stats, _ = _cells_dense(arr, key, seed, max_pivots, points_per_cell, metric)
     cand = _candidates(grid, own, stats, key, radius)
-    return _pairs_dense(pts, own, cand, key, metric=metric).select(
-        F.col("x").alias(key), F.col("y").alias("nbr"), "dist")
+    return _finish(_pairs_dense(pts, own, cand, key, metric=metric).select(
+        F.col("x").alias(key), F.col("y").alias("nbr"), "dist"), pts, grid, own)
 
 
 def knn(vec: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int = 1024,
@@ -243,8 +252,8 @@ def knn(vec: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int
     # order on distance rounded to 1e-9 (squared) so that last-bit summation noise
     # cannot reorder equal distances; ties go to the smaller key
     wr = Window.partitionBy("x").orderBy(F.round(F.col("dist") * F.col("dist"), 9), "y")
-    return (d.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
-            .select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist", "rank"))
+    return _finish(d.withColumn("rank", F.row_number().over(wr)).filter(F.col("rank") <= k)
+                   .select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist", "rank"), pts, grid, own)
 
 
 def within(vec: DataFrame, radius: DataFrame, key: str = "id", seed: int = 0, max_pivots: int = 1024,
@@ -253,7 +262,8 @@ def within(vec: DataFrame, radius: DataFrame, key: str = "id", seed: int = 0, ma
     (key, r) — a range query on the same cells."""
     spark, pts, grid, own, stats = _cells(vec, key, seed, max_pivots, points_per_cell)
     cand = _candidates(grid, own, stats, key, radius)
-    return _pairs(vec, own, cand, key).select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist")
+    return _finish(_pairs(vec, own, cand, key).select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist"),
+                   pts, grid, own)
 
 
 def core_distances(arr: DataFrame, min_samples: int = 10, key: str = "id", **kw) -> DataFrame:
@@ -265,7 +275,7 @@ def core_distances(arr: DataFrame, min_samples: int = 10, key: str = "id", **kw)
 
 def mutual_reachability(arr: DataFrame, k: int = 10, min_samples: int = 10, key: str = "id", **kw) -> DataFrame:
     """k nearest neighbours with max(core(x), core(y), d(x, y))."""
-    nn = knn_dense(arr, max(k, min_samples - 1), key, **kw).persist(StorageLevel.MEMORY_AND_DISK)
+    nn = knn_dense(arr, max(k, min_samples - 1), key, **kw)  # checkpointed result
     core = nn.filter(F.col("rank") <= min_samples - 1).groupBy(key).agg(F.max("dist").alias("core"))
     out = (nn.filter(F.col("rank") <= k).join(core, key)
            .join(core.select(F.col(key).alias("nbr"), F.col("core").alias("core_nbr")), "nbr")
@@ -304,7 +314,7 @@ def density_clusters(arr: DataFrame, eps: float | None = None, min_samples: int
     by pairs with distance ≤ eps form components; components smaller than
     ``min_cluster_size`` and all non-core points are noise (−1).  ``eps``
     defaults to the ``eps_quantile`` of the core distances."""
-    core = core_distances(arr, min_samples, key, **kw).persist(StorageLevel.MEMORY_AND_DISK)
+    core = cut_lineage(core_distances(arr, min_samples, key, **kw))
     if eps is None:
         from ..functions.stats import exact_quantiles
 
