@@ -8,6 +8,7 @@ holds fitted parameters (trees, coefficients, level lists, a few scalars).
 from __future__ import annotations
 
 import math
+from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
@@ -192,16 +193,28 @@ def fit_interval_model(train: DataFrame, kind: str = "rf", labels: Sequence[str]
     tt = target if isinstance(target, TargetTransform) else TargetTransform(target)
     tt.fit(train, labels)
     data = cast_numeric(train, numeric).withColumns({f"__y_{c}": tt.forward(c) for c in labels})
-    stages = preprocessing(numeric, categorical, impute=impute, scaler=scaler)
-    for c in labels:
-        p = dict(params or {})
-        p.update((per_label_params or {}).get(c, {}))
-        stages.append(estimator(kind, f"__y_{c}", prediction=f"__p_{c}", weight=weight, **p))
-    # every stage fit and every tree level is a pass over the training frame:
-    # keep it materialised (spills to disk at scale) instead of recomputing the scan
+    # preprocessing is fitted once on the training rows (two passes: imputer
+    # statistics and level lists); the raw frame is kept for those passes only
     data = data.persist(StorageLevel.MEMORY_AND_DISK)
-    model = Pipeline(stages=stages).fit(data)
+    prep = Pipeline(stages=preprocessing(numeric, categorical, impute=impute, scaler=scaler)).fit(data)
+    keep = ["features", *[f"__y_{c}" for c in labels], *([weight] if weight else [])]
+    # every tree level / solver iteration is a pass over the feature vectors:
+    # keep them materialised (spills to disk at scale) instead of recomputing
+    feats = prep.transform(data).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
+    feats.count()
     data.unpersist()
+
+    def fit_one(c):
+        p = dict(params or {})
+        p.update((per_label_params or {}).get(c, {}))
+        return estimator(kind, f"__y_{c}", prediction=f"__p_{c}", weight=weight, **p).fit(feats)
+
+    # the labels' regressors are independent: fitted concurrently (driver
+    # threads submitting Spark jobs), like CrossValidator(parallelism)
+    with ThreadPoolExecutor(max(1, len(labels))) as ex:
+        regs = list(ex.map(fit_one, labels))
+    feats.unpersist()
+    model = PipelineModel(stages=list(prep.stages) + regs)
     return IntervalModel(model, tuple(labels), tt, tuple(numeric))
 
 
