@@ -7,6 +7,7 @@ with literals, so it is row-local and also scores a streaming frame.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
@@ -122,19 +123,37 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 
 
 class RegressionImputeModel:
-    """Round-robin linear regression imputation; coefficients per column."""
+    """Round-robin linear regression imputation; coefficients per column.
 
-    def __init__(self, coefs: dict[str, tuple[float, dict[str, float]]]):
-        self.coefs = coefs
+    ``transform`` fills the predictors a row lacks with their training means
+    before evaluating each regression, so a row missing several columns still
+    gets every fill.  With ``posterior=True`` a draw from the residual normal
+    (sd per target from the fit) is added, seeded by ``hash(seed:target:key)``
+    so reruns give the same fills."""
 
-    def transform(self, df: DataFrame) -> DataFrame:
+    def __init__(self, coefs: dict[str, tuple[float, dict[str, float]]], means: dict[str, float] | None = None,
+                 resid_sd: dict[str, float] | None = None):
+        self.coefs, self.means, self.resid_sd = coefs, means or {}, resid_sd or {}
+
+    def transform(self, df: DataFrame, posterior: bool = False, key: str = "id", seed: int = 0) -> DataFrame:
+        from ..functions.columns import hash_unit, inverse_normal_sql
+
+        def filled(x):
+            c = F.col(x).cast("double")
+            return F.coalesce(c, F.lit(self.means[x])) if x in self.means else c
+
+        draws = [c for c in self.coefs if posterior and self.resid_sd.get(c)]
+        out = df.withColumns({f"__u_{c}": F.greatest(F.least(hash_unit(key, f"{seed}:{c}"), F.lit(1 - 1e-12)),
+                                                     F.lit(1e-12)) for c in draws}) if draws else df
         fills = {}
         for c, (b0, betas) in self.coefs.items():
             pred = F.lit(b0)
             for x, b in betas.items():
-                pred = pred + F.lit(b) * F.col(x).cast("double")
+                pred = pred + F.lit(b) * filled(x)
+            if c in draws:
+                pred = pred + F.lit(self.resid_sd[c]) * F.expr(inverse_normal_sql(f"`__u_{c}`"))
             fills[c] = F.coalesce(F.col(c).cast("double"), pred)
-        return df.withColumns(fills)
+        return out.withColumns(fills).drop(*[f"__u_{c}" for c in draws])
 
 
 def regression_fill_one(train: DataFrame, target: str, predictor: str) -> tuple[float, float]:
@@ -194,7 +213,16 @@ def fit_regression_impute(train: DataFrame, cols: Sequence[str], rounds: int = 1
         if prev is not None and np.max(np.abs(flat - prev)) < tol:
             break
         prev = flat
-    return RegressionImputeModel(coefs)
+    resid = {}
+    for t, (b0, betas) in coefs.items():
+        pred = F.lit(b0)
+        for x, b in betas.items():
+            pred = pred + F.lit(b) * F.col(x)
+        obs = cur.filter(~F.col("__miss")[cols.index(t)])
+        r = obs.agg(F.sum(F.pow(F.col(t) - pred, 2)).alias("sse"), F.count(F.lit(1)).alias("n")).first()
+        dof = max(1, int(r["n"]) - len(betas) - 1)
+        resid[t] = float(math.sqrt((r["sse"] or 0.0) / dof))
+    return RegressionImputeModel(coefs, {c: float(means[c]) for c in cols if means[c] is not None}, resid)
 
 
 # ---------------------------------------------------------------------------
