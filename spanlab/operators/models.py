@@ -202,7 +202,7 @@ def fit_interval_model(train: DataFrame, kind: str = "rf", labels: Sequence[str]
     # keep them materialised (spills to disk at scale) instead of recomputing
     feats = prep.transform(data).select(*keep).persist(StorageLevel.MEMORY_AND_DISK)
     feats.count()
-    data.unpersist()
+    data.unpersist(blocking=True)
 
     def fit_one(c):
         p = dict(params or {})
@@ -213,7 +213,7 @@ def fit_interval_model(train: DataFrame, kind: str = "rf", labels: Sequence[str]
     # threads submitting Spark jobs), like CrossValidator(parallelism)
     with ThreadPoolExecutor(max(1, len(labels))) as ex:
         regs = list(ex.map(fit_one, labels))
-    feats.unpersist()
+    feats.unpersist(blocking=True)
     model = PipelineModel(stages=list(prep.stages) + regs)
     return IntervalModel(model, tuple(labels), tt, tuple(numeric))
 
@@ -265,7 +265,7 @@ def coefficient_path(train: DataFrame, label: str, lambdas: Sequence[float], alp
         m = LinearRegression(labelCol="y", regParam=float(lam), elasticNetParam=alpha, standardization=False,
                              maxIter=200).fit(feats)
         rows += [(float(lam), names[i], float(b)) for i, b in enumerate(m.coefficients.toArray())]
-    feats.unpersist()
+    feats.unpersist(blocking=True)
     return train.sparkSession.createDataFrame(rows, "lambda double, term string, estimate double")
 
 

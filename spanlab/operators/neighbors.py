@@ -41,7 +41,7 @@ def explode_dense(df: DataFrame, key: str, vec: str) -> DataFrame:
 
 def _cells(vec: DataFrame, key: str, seed: int, max_pivots: int, points_per_cell: int):
     spark = vec.sparkSession
-    pts = vec.groupBy(key).agg(F.sum(F.col("v") * F.col("v")).alias("n2")).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = cut_lineage(vec.groupBy(key).agg(F.sum(F.col("v") * F.col("v")).alias("n2")))
     n = pts.count()
     p = max(1, min(max_pivots, n // max(1, points_per_cell)))
     piv_ids = [r[0] for r in pts.select(key).orderBy(hash_unit(key, f"pivot{seed}"), key).limit(p).collect()]
@@ -53,10 +53,10 @@ def _cells(vec: DataFrame, key: str, seed: int, max_pivots: int, points_per_cell
             .join(F.broadcast(piv_n2), "pivot").join(dots, [key, "pivot"], "left")
             .select(key, "pivot", "n2", F.sqrt(F.greatest(F.lit(0.0), F.col("n2") + F.col("pn2")
                                                           - 2 * F.coalesce(F.col("dot"), F.lit(0.0)))).alias("d")))
-    grid = grid.persist(StorageLevel.MEMORY_AND_DISK)
+    grid = cut_lineage(grid)
     own = grid.groupBy(key).agg(F.min_by(F.struct("pivot", "d"), F.struct("d", "pivot")).alias("o"), F.first("n2").alias("n2")
                                 ).select(key, "n2", F.col("o.pivot").alias("cell"), F.col("o.d").alias("d_own"))
-    own = own.persist(StorageLevel.MEMORY_AND_DISK)
+    own = cut_lineage(own)
     stats = own.groupBy("cell").agg(F.count(F.lit(1)).alias("cnt"), F.max("d_own").alias("rad"))
     return spark, pts, grid, own, stats
 
@@ -98,22 +98,20 @@ def _tie_key(metric: str):
 
 def _pivot_grid(pts, piv_ids, piv, key, metric):
     # every point meets each of the P pivots (P ≤ max_pivots, broadcast, equi-join on the pivot id)
-    return (pts.withColumn("pivot", F.explode(F.array(*[F.lit(i) for i in piv_ids])))
-            .join(F.broadcast(piv), "pivot")
-            .select(key, "pivot", _dist(F.col("vec"), F.col("pvec"), metric).alias("d"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    return cut_lineage(pts.withColumn("pivot", F.explode(F.array(*[F.lit(i) for i in piv_ids])))
+                       .join(F.broadcast(piv), "pivot")
+                       .select(key, "pivot", _dist(F.col("vec"), F.col("pvec"), metric).alias("d")))
 
 
 def _own(grid, key):
-    return (grid.groupBy(key).agg(F.min_by(F.struct("pivot", "d"), F.struct("d", "pivot")).alias("o"))
-            .select(key, F.col("o.pivot").alias("cell"), F.col("o.d").alias("d_own"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    return cut_lineage(grid.groupBy(key).agg(F.min_by(F.struct("pivot", "d"), F.struct("d", "pivot")).alias("o"))
+                       .select(key, F.col("o.pivot").alias("cell"), F.col("o.d").alias("d_own")))
 
 
 def _cells_dense(arr: DataFrame, key: str, seed: int, max_pivots: int, points_per_cell: int,
                  metric: str = "euclidean"):
     """Dense variant of ``_cells``: arrays, distances by ``zip_with`` (JVM-side)."""
-    pts = arr.select(key, F.col("vec").cast("array<double>").alias("vec")).persist(StorageLevel.MEMORY_AND_DISK)
+    pts = cut_lineage(arr.select(key, F.col("vec").cast("array<double>").alias("vec")))
     n = pts.count()
     p = max(1, min(max_pivots, n // max(1, points_per_cell)))
     piv_ids = [r[0] for r in pts.select(key).orderBy(hash_unit(key, f"pivot{seed}"), key).limit(p).collect()]
@@ -137,10 +135,12 @@ def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int =
 
     mpts = pts if members is None else members
     q = (cand.join(pts, key).select("cell", F.col(key).cast("long").alias("x"), "r", F.col("vec").alias("vx"))
-         .withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(query_chunks))))
+         .withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(query_chunks)).cast("int")))
     m = (own.select(F.col(key).alias("y"), "cell").join(mpts.withColumnRenamed(key, "y"), "y")
          .select("cell", F.col("y").cast("long").alias("y"), "vec")
-         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1)))))
+         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1).cast("int")))))
+    # both sides must carry identical key types: cogroup hash-partitions each
+    # side by its own key values, and an int and a bigint hash differently
     manhattan = metric == "manhattan"
 
     def block(qd: pd.DataFrame, md: pd.DataFrame) -> pd.DataFrame:
@@ -199,13 +199,11 @@ def _top_k(d, key, k, metric):
             .select(F.col("x").alias(key), F.col("y").alias("nbr"), "dist", "rank"))
 
 
-def _finish(result: DataFrame, *cached: DataFrame) -> DataFrame:
+def _finish(result: DataFrame, *intermediates: DataFrame) -> DataFrame:
     """Materialise an operator's result with a reliable checkpoint (shared
-    folder; survives executor loss) and release its cached intermediates."""
-    out = cut_lineage(result)
-    for c in cached:
-        c.unpersist()
-    return out
+    folder; survives executor loss).  Intermediates are checkpoints too, not
+    cache entries: nothing is left registered in the session's cache."""
+    return cut_lineage(result)
 
 
 def knn_dense(arr: DataFrame, k: int, key: str = "id", seed: int = 0, max_pivots: int = 1024,
@@ -224,7 +222,7 @@ def knn_between(queries: DataFrame, refs: DataFrame, k: int, key: str = "id", se
     Cells are built on the references; a query is routed to its nearest pivot
     and the same bounds prune the cells it must visit."""
     pts, grid, own, stats, (piv_ids, piv) = _cells_dense(refs, key, seed, max_pivots, points_per_cell, metric)
-    qpts = queries.select(key, F.col("vec").cast("array<double>").alias("vec")).persist(StorageLevel.MEMORY_AND_DISK)
+    qpts = cut_lineage(queries.select(key, F.col("vec").cast("array<double>").alias("vec")))
     qgrid = _pivot_grid(qpts, piv_ids, piv, key, metric)
     qown = _own(qgrid, key)
     cand = _candidates(qgrid, qown, stats, key, _radius_knn(qgrid, stats, qpts, key, k))

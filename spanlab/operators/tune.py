@@ -121,9 +121,9 @@ def cross_validate(df: DataFrame, kind: str, configs: Sequence[dict], label: str
         t = score(trf) if with_train else None
         for i in range(len(fitted)):
             rows.append((i, f, float(v[f"m{i}"])) + ((float(t[f"m{i}"]),) if with_train else ()))
-        trf.unpersist()
-        vaf.unpersist()
-    fd.unpersist()
+        trf.unpersist(blocking=True)
+        vaf.unpersist(blocking=True)
+    fd.unpersist(blocking=True)
     schema = "config_id int, fold int, mae double" + (", mae_train double" if with_train else "")
     return spark.createDataFrame(rows, schema)
 
@@ -246,7 +246,7 @@ def fit_stacking(df: DataFrame, bases: dict[str, tuple[str, dict]], label: str =
     meta = LinearRegression(featuresCol="__z", labelCol="truth").fit(
         VectorAssembler(inputCols=names, outputCol="__z").transform(wide))
     fitted = {n: M.fit_interval_model(df, kd, labels=[label], params=p) for n, (kd, p) in bases.items()}
-    folds.unpersist()
+    folds.unpersist(blocking=True)
     return StackingModel(fitted, meta, label, names), oof
 
 
