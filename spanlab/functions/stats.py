@@ -108,8 +108,30 @@ def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n: int | No
     return res
 
 
-def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float]) -> dict[str, list[float | None]]:
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict() if cols else {}
+def _interp(sorted_vals: list[float], probs: Sequence[float]) -> list[float | None]:
+    n = len(sorted_vals)
+    if n == 0:
+        return [None for _ in probs]
+    out = []
+    for p in probs:
+        h = (n - 1) * float(p)
+        lo = int(math.floor(h))
+        a, b = sorted_vals[lo], sorted_vals[min(lo + 1, n - 1)]
+        out.append(a + (h - lo) * (b - a))
+    return out
+
+
+def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
+                         collect_limit: int = COLLECT_LIMIT) -> dict[str, list[float | None]]:
+    """Exact quantiles of several columns.  Small inputs (every column within
+    ``collect_limit`` values in total) are fetched in one pass for all columns;
+    otherwise each column goes through the bounded-memory selection."""
+    if not cols:
+        return {}
+    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
+    if sum(int(v) for v in counts.values()) <= collect_limit:
+        rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).collect()
+        return {c: _interp(sorted(r[c] for r in rows if r[c] is not None), probs) for c in cols}
     return {c: exact_quantiles(df, c, probs, counts[c]) for c in cols}
 
 
