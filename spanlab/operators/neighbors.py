@@ -97,10 +97,29 @@ def _tie_key(metric: str):
 
 
 def _pivot_grid(pts, piv_ids, piv, key, metric):
-    # every point meets each of the P pivots (P ≤ max_pivots, broadcast, equi-join on the pivot id)
-    return cut_lineage(pts.withColumn("pivot", F.explode(F.array(*[F.lit(i) for i in piv_ids])))
-                       .join(F.broadcast(piv), "pivot")
-                       .select(key, "pivot", _dist(F.col("vec"), F.col("pvec"), metric).alias("d")))
+    """Distance of every point to each of the P pivots.  The pivot matrix
+    (P ≤ max_pivots rows, collected once — bounded) travels with the closure;
+    each Arrow batch of points becomes one numpy distance matrix."""
+    import numpy as np
+    import pandas as pd
+
+    prow = sorted(((r["pivot"], r["pvec"]) for r in piv.collect()), key=lambda t: t[0])
+    pid = np.array([t[0] for t in prow], dtype=np.int64)
+    P = np.array([t[1] for t in prow], dtype=np.float64)
+    manhattan = metric == "manhattan"
+    key_type = pts.schema[key].dataType.simpleString()
+
+    def dist(batches):
+        for b in batches:
+            if b.empty:
+                continue
+            X = np.vstack(b["vec"].to_numpy()).astype(np.float64)
+            diff = X[:, None, :] - P[None, :, :]
+            d = np.abs(diff).sum(-1) if manhattan else np.sqrt(np.einsum("ijk,ijk->ij", diff, diff))
+            yield pd.DataFrame({key: np.repeat(b[key].to_numpy(), len(pid)), "pivot": np.tile(pid, len(b)),
+                                "d": d.ravel()})
+
+    return cut_lineage(pts.select(key, "vec").mapInPandas(dist, f"{key} {key_type}, pivot long, d double"))
 
 
 def _own(grid, key):
@@ -123,27 +142,40 @@ def _cells_dense(arr: DataFrame, key: str, seed: int, max_pivots: int, points_pe
 
 
 def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int = 4, metric: str = "euclidean",
-                 members=None, exclude_self: bool = True):
+                 members=None, exclude_self: bool = True, cell_groups: int = 64):
     """Exact distances from each query point to the members of its candidate
-    cells, computed per cell with numpy (cogrouped Arrow batches): the query
-    side and the member side of one cell meet in one task, and only the pairs
-    within the query's radius — its k nearest when ``k`` is given — leave the
-    task.  Queries of a cell are split into ``query_chunks`` hash chunks (the
+    cells, computed with numpy on cogrouped Arrow batches: the query side and
+    the member side of a cell meet in one task, and only the pairs within the
+    query's radius — its k nearest when ``k`` is given — leave the task.
+    Cells are batched into ``cell_groups`` hash groups (few Python calls), and
+    the queries of a group are split into ``query_chunks`` hash chunks (the
     member side is replicated per chunk) so a crowded cell spreads over tasks."""
     import numpy as np
     import pandas as pd
 
     mpts = pts if members is None else members
+    cg = F.pmod(F.xxhash64(F.col("cell")), F.lit(cell_groups)).cast("int")
     q = (cand.join(pts, key).select("cell", F.col(key).cast("long").alias("x"), "r", F.col("vec").alias("vx"))
-         .withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(query_chunks)).cast("int")))
+         .withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(query_chunks)).cast("int"))
+         .withColumn("cg", cg))
     m = (own.select(F.col(key).alias("y"), "cell").join(mpts.withColumnRenamed(key, "y"), "y")
          .select("cell", F.col("y").cast("long").alias("y"), "vec")
-         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1).cast("int")))))
+         .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1).cast("int"))))
+         .withColumn("cg", cg))
     # both sides must carry identical key types: cogroup hash-partitions each
     # side by its own key values, and an int and a bigint hash differently
     manhattan = metric == "manhattan"
 
     def block(qd: pd.DataFrame, md: pd.DataFrame) -> pd.DataFrame:
+        empty = pd.DataFrame({"x": pd.Series([], dtype="int64"), "y": pd.Series([], dtype="int64"),
+                              "dist": pd.Series([], dtype="float64")})
+        if qd.empty or md.empty:
+            return empty
+        parts = [one_cell(qc, md[md["cell"] == c]) for c, qc in qd.groupby("cell", sort=False)]
+        parts = [p for p in parts if len(p)]
+        return pd.concat(parts, ignore_index=True) if parts else empty
+
+    def one_cell(qd: pd.DataFrame, md: pd.DataFrame) -> pd.DataFrame:
         empty = pd.DataFrame({"x": pd.Series([], dtype="int64"), "y": pd.Series([], dtype="int64"),
                               "dist": pd.Series([], dtype="float64")})
         if qd.empty or md.empty:
@@ -177,7 +209,7 @@ def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int =
             return empty
         return pd.DataFrame({"x": np.concatenate(out_x), "y": np.concatenate(out_y), "dist": np.concatenate(out_d)})
 
-    return (q.groupBy("cell", "chunk").cogroup(m.groupBy("cell", "chunk"))
+    return (q.groupBy("cg", "chunk").cogroup(m.groupBy("cg", "chunk"))
             .applyInPandas(block, "x long, y long, dist double"))
 
 
