@@ -416,3 +416,19 @@ def polynomial_features(df: DataFrame, cols: Sequence[str], degree: int = 2) ->
     v = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="skip").transform(
         cast_numeric(df, cols))
     return PolynomialExpansion(degree=degree, inputCol="__v", outputCol="poly").transform(v).drop("__v")
+
+
+def pca_features(train: DataFrame, df: DataFrame, k: int = 15, keep_original: bool = False,
+                 numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL,
+                 out: str = "features_pca") -> DataFrame:
+    """Dimensionality reduction step (E10): standardised preprocessing + PCA
+    fitted on ``train``; the components replace the features, or are appended
+    to them when ``keep_original``.  The k × d loadings are the only fitted
+    state (d = assembled feature width)."""
+    from pyspark.ml.feature import PCA
+
+    prep = Pipeline(stages=preprocessing(numeric, categorical, scaler="standard")).fit(cast_numeric(train, numeric))
+    pca = PCA(k=k, inputCol="features", outputCol="__pca").fit(prep.transform(cast_numeric(train, numeric)))
+    scored = pca.transform(prep.transform(cast_numeric(df, numeric)))
+    cols = ["features", "__pca"] if keep_original else ["__pca"]
+    return VectorAssembler(inputCols=cols, outputCol=out).transform(scored).drop("__pca")

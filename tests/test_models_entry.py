@@ -44,3 +44,14 @@ def test_adaboost_weighted_median(spark):
     df = spark.createDataFrame([([1.0, 5.0, 3.0],), ([2.0, 2.0, 9.0],)], "p array<double>")
     got = [r[0] for r in df.select(M.weighted_median(F.col("p"), [1.0, 1.0, 3.0])).collect()]
     assert got == [3.0, 9.0]
+
+
+def test_pca_features_width(spark):
+    from pyspark.ml.functions import vector_to_array
+
+    df = fx.listing(spark, SF_SMALL)
+    a = M.pca_features(df, df, k=5).select(F.size(vector_to_array("features_pca")).alias("n")).first()["n"]
+    both = M.pca_features(df, df, k=5, keep_original=True)
+    b = both.select(F.size(vector_to_array("features_pca")).alias("n")).first()["n"]
+    w = both.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
+    assert a == 5 and b == w + 5
