@@ -1,9 +1,10 @@
 """spanlab — Spark-native toolkit for price-interval modelling on listing tables.
 
 Sub-packages: ``sources`` (readers, writers, fixture views), ``functions``
-(Column builders, ranks, exact quantiles), ``operators`` (DataFrame → DataFrame
-steps and fitted models), ``plans`` (ML pipelines, tuning, the query catalogue),
-``streaming`` (scoring unbounded frames with fitted row-local models).
+(Column builders, exact ranks, exact quantiles), ``operators`` (DataFrame →
+DataFrame steps, fitted models, tuning, text and neighbour operators,
+pipeline stages), ``plans`` (the registered query catalogue with its oracle
+SQL), ``streaming`` (empty: the reference has no streaming surface).
 """
 
 __version__ = "0.1.0"

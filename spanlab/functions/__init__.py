@@ -1 +1 @@
-"""spanlab."""
+"""Column builders, exact distributed ranks and exact quantiles."""
