@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from ..session import ensure_checkpoint_dir
-from . import mixing
+from . import mixing, piece_codec, token_files
 
 QUERIES = {
+    "op2_piece_codec": piece_codec.query,
+    "op4_token_files": token_files.query,
     "op5_source_mixing": mixing.query,
 }
 ORACLE = {
