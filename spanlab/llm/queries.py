@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from ..session import ensure_checkpoint_dir
-from . import mixing, piece_codec, token_files
+from . import language_id, line_dedup, mixing, piece_codec, token_files
 
 QUERIES = {
     "op2_piece_codec": piece_codec.query,
+    "op3_language_id": language_id.query,
     "op4_token_files": token_files.query,
     "op5_source_mixing": mixing.query,
+    "op10_line_dedup": line_dedup.query,
 }
 ORACLE = {
     "op5_source_mixing": mixing.ORACLE,
+    "op10_line_dedup": line_dedup.ORACLE,
 }
 
 
