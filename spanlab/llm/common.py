@@ -156,8 +156,8 @@ def shingle_sets(data: np.ndarray, off: np.ndarray, k: int, lower: bool) -> list
         if b - a >= k:
             out.append(np.unique(full[a:b - k + 1]))
         elif b > a:
-            few = h[a:b]
-            out.append(mix64(np.array([(few * coef[:b - a]).sum(dtype=np.uint64) + np.uint64(int(GOLDEN) * (b - a) % 2**64)], np.uint64)))
+            length = np.array([b - a], np.uint64) * GOLDEN
+            out.append(mix64((h[a:b] * coef[:b - a]).sum(keepdims=True, dtype=np.uint64) + length))
         else:
             out.append(np.zeros(0, np.uint64))
     return out

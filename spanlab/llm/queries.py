@@ -3,17 +3,21 @@
 from __future__ import annotations
 
 from ..session import ensure_checkpoint_dir
-from . import language_id, line_dedup, mixing, piece_codec, token_files
+from . import fingerprints, language_id, line_dedup, mixing, near_dedup, piece_codec, token_files, top_k
 
 QUERIES = {
     "op2_piece_codec": piece_codec.query,
     "op3_language_id": language_id.query,
     "op4_token_files": token_files.query,
     "op5_source_mixing": mixing.query,
+    "op7_superminhash_groups": near_dedup.query,
+    "op8_minhash_fingerprints": fingerprints.query,
+    "op9_norm_sorted_top_k": top_k.query,
     "op10_line_dedup": line_dedup.query,
 }
 ORACLE = {
     "op5_source_mixing": mixing.ORACLE,
+    "op9_norm_sorted_top_k": top_k.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
 }
 
