@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from ..session import ensure_checkpoint_dir
-from . import fingerprints, language_id, line_dedup, mixing, near_dedup, piece_codec, token_files, top_k
+from . import fingerprints, language_id, line_dedup, mixing, near_dedup, pii, piece_codec, token_files, top_k
 
 QUERIES = {
+    "op1_pii_weak_labels": pii.query,
     "op2_piece_codec": piece_codec.query,
     "op3_language_id": language_id.query,
     "op4_token_files": token_files.query,
