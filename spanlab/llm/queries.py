@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from ..session import ensure_checkpoint_dir
-from . import fingerprints, language_id, line_dedup, mixing, near_dedup, pii, piece_codec, token_files, top_k
+from . import fingerprints, language_id, line_dedup, mixing, near_dedup, passage_dedup, pii, piece_codec, token_files, top_k
 
 QUERIES = {
     "op1_pii_weak_labels": pii.query,
@@ -11,6 +11,7 @@ QUERIES = {
     "op3_language_id": language_id.query,
     "op4_token_files": token_files.query,
     "op5_source_mixing": mixing.query,
+    "op6_passage_dedup": passage_dedup.query,
     "op7_superminhash_groups": near_dedup.query,
     "op8_minhash_fingerprints": fingerprints.query,
     "op9_norm_sorted_top_k": top_k.query,
