@@ -147,14 +147,15 @@ def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] | None = N
     """``id_cols`` (all but the text where None) and lang_pred, score, ambiguous."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # languages' codewords and BUCKETS x bits weights
     keep = [c for c in docs.columns if c != text_col] if id_cols is None else id_cols
+    source = text_col if text_col in keep else "__text"
 
     def run(batches):
         m = held.value
         bits = m.weights.shape[1]
         for batch in batches:
-            for part in chunks(batch, "__text", max(1 << 14, CHUNK_BYTES * 8 // max(8, bits))):
-                texts = part.column("__text").to_pylist()
-                data, off = text_bytes(part.column("__text"))
+            for part in chunks(batch, source, max(1 << 14, CHUNK_BYTES * 8 // max(8, bits))):
+                texts = part.column(source).to_pylist()
+                data, off = text_bytes(part.column(source))
                 lang = np.full(len(texts), UND, object)
                 score, unsure = np.zeros(len(texts)), np.zeros(len(texts), bool)
                 lettered = np.array([t is not None and _LETTER.search(t) is not None for t in texts], bool)
@@ -174,8 +175,8 @@ def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] | None = N
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure)],
                                                  names=[*keep, "lang_pred", "score", "ambiguous"])
 
-    sel = docs.select(*keep, F.col(text_col).alias("__text"))
-    schema = T.StructType([*[f for f in sel.schema if f.name != "__text"], T.StructField("lang_pred", T.StringType()),
+    sel = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias("__text")]))
+    schema = T.StructType([*[sel.schema[c] for c in keep], T.StructField("lang_pred", T.StringType()),
                            T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
     return sel.mapInArrow(run, schema)
 

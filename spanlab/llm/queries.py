@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
+
 from ..session import ensure_checkpoint_dir
 from . import fingerprints, language_id, line_dedup, mixing, near_dedup, passage_dedup, pii, piece_codec, token_files, top_k
 
@@ -16,6 +18,7 @@ QUERIES = {
     "op8_minhash_fingerprints": fingerprints.query,
     "op9_norm_sorted_top_k": top_k.query,
     "op10_line_dedup": line_dedup.query,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op5_source_mixing": mixing.ORACLE,
@@ -36,4 +39,4 @@ def queries():
 
 
 def oracle_sql():
-    return dict(ORACLE)
+    return dict(ORACLE) | ({"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {})
