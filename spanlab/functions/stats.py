@@ -1,142 +1,45 @@
 """Exact distributed order statistics.
 
 Spark's ``percentile`` keeps every distinct value of a group in one buffer and
-``percentile_approx`` is approximate.  ``exact_quantiles`` gets the exact
-``quantile_cont`` (numpy "linear") answer with bounded memory: an approximate
-sketch brackets each needed order statistic, an exact count confirms the
-bracket, and only a bracket with at most ``collect_limit`` values is ever pulled
-to the driver; bigger brackets are refined with a fresh sketch restricted to
-the bracket (each round shrinks it by about ``accuracy / 4``).
+``percentile_approx`` is approximate.  The functions here give the exact
+``quantile_cont`` (numpy "linear") answer with bounded memory at every size:
+values are counted per group, a sketch of the distinct values cuts each group
+into buckets, and only the buckets that hold a wanted order statistic are
+ranked, each in a window of its own.  All columns (as groups) and all
+probabilities share the same fixed number of passes; what reaches the driver is
+one row per column.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-COLLECT_LIMIT = 200_000
-ACCURACY = 10_000
-
-
-def _kth_values(df: DataFrame, col: str, ranks: Sequence[int], n: int,
-                collect_limit: int = COLLECT_LIMIT, accuracy: int = ACCURACY) -> dict[int, float]:
-    """k-th smallest (0-based) non-null values of ``col`` for each k in ``ranks``."""
-    base = df.select(F.col(col).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    want = sorted(set(int(r) for r in ranks))
-    if not want:
-        return {}
-    if n <= collect_limit:
-        vals = sorted(r[0] for r in base.collect())
-        return {k: vals[k] for k in want}
-    v = F.col("v")
-    # bracket per rank: values of rank k lie in [lo, hi]; `below` values are < lo; `size` in bracket
-    state = {k: (None, None, 0, n) for k in want}
-    width = {k: 3.0 / accuracy for k in want}
-
-    def inside(lo, hi):
-        return F.lit(True) if lo is None else (v >= lo) & (v <= hi)
-
-    for _ in range(10):
-        pending = [k for k in want if state[k][3] > collect_limit]
-        if not pending:
-            break
-        probes = {}
-        for k in pending:
-            lo, hi, below, size = state[k]
-            q = (k - below + 0.5) / size
-            probes[k] = (max(q - width[k], 0.0), min(q + width[k], 1.0))
-        sk = base.agg(*[F.percentile_approx(F.when(inside(*state[k][:2]), v), list(probes[k]), accuracy)
-                        .alias(f"p{i}") for i, k in enumerate(pending)]).first()
-        cand = {}
-        for i, k in enumerate(pending):
-            a, b = sk[f"p{i}"]
-            lo, hi = state[k][:2]
-            cand[k] = (lo if probes[k][0] <= 0.0 and lo is not None else a,
-                       hi if probes[k][1] >= 1.0 and hi is not None else b)
-        aggs = []
-        for i, k in enumerate(pending):
-            a, b = cand[k]
-            aggs += [F.count(F.when(v < a, 1)).alias(f"lt{i}"),
-                     F.count(F.when((v >= a) & (v <= b), 1)).alias(f"in{i}")]
-        cnt = base.agg(*aggs).first()
-        for i, k in enumerate(pending):
-            lt, inn = cnt[f"lt{i}"], cnt[f"in{i}"]
-            if lt <= k < lt + inn and cand[k][0] == cand[k][1]:
-                state[k] = (cand[k][0], cand[k][1], lt, 0)  # a single value covers rank k
-            elif lt <= k < lt + inn and inn < state[k][3]:
-                state[k] = (cand[k][0], cand[k][1], lt, inn)
-            else:
-                width[k] *= 4.0
-    out: dict[int, float] = {}
-    by_bracket: dict[tuple, list[int]] = {}
-    for k in want:
-        lo, hi, below, size = state[k]
-        if size == 0 and lo is not None:
-            out[k] = lo
-        elif size <= collect_limit and lo is not None:
-            by_bracket.setdefault((lo, hi, below), []).append(k)
-        else:  # pathological data (one value repeated): exact via an ordered offset scan
-            out[k] = base.orderBy("v").offset(k).limit(1).first()[0]
-    for (lo, hi, below), ks in by_bracket.items():
-        vals = sorted(r[0] for r in base.filter((v >= lo) & (v <= hi)).collect())
-        for k in ks:
-            out[k] = vals[k - below]
-    return out
-
-
-def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float], n: int | None = None) -> list[float | None]:
-    """Linear-interpolated quantiles of the non-null values (numpy / DuckDB ``quantile_cont``)."""
-    if n is None:
-        n = df.filter(F.col(col).isNotNull()).count()
-    if n == 0:
-        return [None for _ in probs]
-    ranks = []
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo = int(math.floor(h))
-        ranks += [lo, min(lo + 1, n - 1)]
-    kth = _kth_values(df, col, ranks, n)
-    res = []
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo = int(math.floor(h))
-        a, b = kth[lo], kth[min(lo + 1, n - 1)]
-        res.append(a + (h - lo) * (b - a))
-    return res
-
-
-def _interp(sorted_vals: list[float], probs: Sequence[float]) -> list[float | None]:
-    n = len(sorted_vals)
-    if n == 0:
-        return [None for _ in probs]
-    out = []
-    for p in probs:
-        h = (n - 1) * float(p)
-        lo = int(math.floor(h))
-        a, b = sorted_vals[lo], sorted_vals[min(lo + 1, n - 1)]
-        out.append(a + (h - lo) * (b - a))
-    return out
+BUCKETS = 256
 
 
 def exact_quantiles_many(df: DataFrame, cols: Sequence[str], probs: Sequence[float],
-                         collect_limit: int = COLLECT_LIMIT) -> dict[str, list[float | None]]:
-    """Exact quantiles of several columns.  Small inputs (every column within
-    ``collect_limit`` values in total) are fetched in one pass for all columns;
-    otherwise each column goes through the bounded-memory selection."""
+                         buckets: int = BUCKETS) -> dict[str, list[float | None]]:
+    """Linear-interpolated quantiles (numpy / DuckDB ``quantile_cont``) of the
+    non-null values of several columns; ``None`` for a column without values."""
     if not cols:
         return {}
-    counts = df.agg(*[F.count(F.col(c)).alias(c) for c in cols]).first().asDict()
-    if sum(int(v) for v in counts.values()) <= collect_limit:
-        rows = df.select(*[F.col(c).cast("double").alias(c) for c in cols]).collect()
-        return {c: _interp(sorted(r[c] for r in rows if r[c] is not None), probs) for c in cols}
-    return {c: exact_quantiles(df, c, probs, counts[c]) for c in cols}
+    cols = list(cols)
+    names = [f"c{i}" for i in range(len(cols))]
+    long = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)]).unpivot([], names, "__col", "__val")
+    rows = grouped_exact_quantiles(long, "__val", ["__col"], probs, buckets).collect()  # one row per column
+    got = {r["__col"]: [r[f"q{i}"] for i in range(len(probs))] for r in rows}
+    return {c: got.get(n, [None for _ in probs]) for c, n in zip(cols, names)}
+
+
+def exact_quantiles(df: DataFrame, col: str, probs: Sequence[float]) -> list[float | None]:
+    return exact_quantiles_many(df, [col], probs)[col]
 
 
 def grouped_exact_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: Sequence[float],
-                            buckets: int = 1024, accuracy: int = 10_000) -> DataFrame:
+                            buckets: int = BUCKETS, accuracy: int = 10_000) -> DataFrame:
     """Exact linear-interpolated quantiles per group without holding a group in
     one task (Spark's ``percentile`` merges every distinct value of a group in
     one buffer, so a group holding a third of the rows would sit in one task).

@@ -23,7 +23,7 @@ def interval_mae_flat(df: DataFrame, truth: Sequence[str] = ("min_price", "max_p
                       pred: Sequence[str] = ("MIN", "MAX")) -> DataFrame:
     """MAE over the stacked (min, max) values, doubled — equals ``mae_total``."""
     s = F.abs(F.col(truth[0]) - F.col(pred[0])) + F.abs(F.col(truth[1]) - F.col(pred[1]))
-    return df.agg((F.sum(s) / F.count(F.lit(1)) / 2.0 * 2.0).alias("mae_flat"))
+    return df.agg(F.try_divide(F.sum(s), F.count(s)).alias("mae_flat"))
 
 
 def mae(df: DataFrame, truth: str, pred: str) -> DataFrame:
@@ -37,7 +37,7 @@ def regression_metrics(df: DataFrame, truth: str, pred: str) -> DataFrame:
     agg = df.agg(F.avg(F.abs(e)).alias("mae"), F.avg(e * e).alias("mse"), F.sum(e * e).alias("sse"),
                  F.var_pop(y).alias("vy"), F.count(y).alias("n"))
     return agg.select("mae", F.sqrt("mse").alias("rmse"),
-                      (F.lit(1.0) - F.col("sse") / (F.col("vy") * F.col("n"))).alias("rsq"))
+                      (F.lit(1.0) - F.try_divide("sse", F.col("vy") * F.col("n"))).alias("rsq"))
 
 
 def residuals(df: DataFrame, truth: str, pred: str, order: int = 1, key: str = "id") -> DataFrame:

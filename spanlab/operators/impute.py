@@ -81,13 +81,19 @@ def fit_mean(train: DataFrame, cols: Sequence[str]) -> FillModel:
 def fit_mode(train: DataFrame, cols: Sequence[str]) -> FillModel:
     """Most frequent non-null value per column; ties → the smallest value.
 
-    Per column a grouped count (partial aggregation, so a hot value is one
-    row per task) and a distributed top-1; nothing unbounded reaches the driver."""
-    values = {}
+    Columns of one type share a pass: (column, value) counts (partial
+    aggregation, so a hot value is one row per task), then the best value of each
+    column; one row per column reaches the driver."""
+    values: dict = {c: None for c in cols}
+    kinds: dict = {}
     for c in cols:
-        top = (train.filter(F.col(c).isNotNull()).groupBy(c).agg(F.count(F.lit(1)).alias("__n"))
-               .orderBy(F.desc("__n"), F.asc(c)).limit(1).collect())
-        values[c] = top[0][0] if top else None
+        kinds.setdefault(train.schema[c].dataType.simpleString(), []).append(c)
+    for same in kinds.values():
+        names = [f"c{i}" for i in range(len(same))]
+        long = train.select(*[F.col(c).alias(n) for c, n in zip(same, names)]).unpivot([], names, "__col", "__val")
+        n = long.filter("__val is not null").groupBy("__col", "__val").agg(F.count(F.lit(1)).alias("__n"))
+        best = n.groupBy("__col").agg(F.min_by("__val", F.struct((-F.col("__n")).alias("n"), F.col("__val").alias("v"))).alias("__top"))
+        values |= {same[names.index(r["__col"])]: r["__top"] for r in best.collect()}
     return FillModel(values)
 
 
@@ -125,31 +131,65 @@ def nan_to_null(df: DataFrame) -> DataFrame:
 class RegressionImputeModel:
     """Round-robin linear regression imputation; coefficients per column.
 
-    ``transform`` fills the predictors a row lacks with their training means
-    before evaluating each regression, so a row missing several columns still
-    gets every fill.  With ``posterior=True`` a draw from the residual normal
-    (sd per target from the fit) is added, seeded by ``hash(seed:target:key)``
-    so reruns give the same fills."""
+    ``transform`` starts a row's missing values at the training means and runs
+    the fitted regressions over them in turn: the rounds of the fit, then the
+    last round again until a row's fills would settle (``settle`` repeats), so
+    values missing together are filled consistently.  With ``posterior=True`` a
+    draw from the residual normal (sd per target from the fit) is added, seeded
+    by ``hash(seed:target:key)`` so reruns give the same fills."""
 
     def __init__(self, coefs: dict[str, tuple[float, dict[str, float]]], means: dict[str, float] | None = None,
-                 resid_sd: dict[str, float] | None = None):
+                 resid_sd: dict[str, float] | None = None, rounds: list | None = None, settle: int = 100):
         self.coefs, self.means, self.resid_sd = coefs, means or {}, resid_sd or {}
+        self.rounds, self.settle = rounds or [coefs], settle
+
+    def _fills(self, missing: tuple[str, ...]) -> dict[str, tuple[float, dict[str, float]]]:
+        """Fills of a row that lacks ``missing`` as (constant, weights of the
+        columns it has): the regressions composed on the driver, p x p numbers."""
+        now: dict[str, tuple[float, dict[str, float]]] = {c: (self.means.get(c, 0.0), {}) for c in missing}
+        for step in [*self.rounds, *[self.coefs] * self.settle]:
+            moved = 0.0
+            for t in missing:
+                if t not in step:
+                    continue
+                const, weights = step[t][0], {}
+                for x, b in step[t][1].items():
+                    if x in now:
+                        const += b * now[x][0]
+                        for o, w in now[x][1].items():
+                            weights[o] = weights.get(o, 0.0) + b * w
+                    else:
+                        weights[x] = weights.get(x, 0.0) + b
+                old = now[t]
+                moved = max([moved, abs(const - old[0]), *(abs(w - old[1].get(o, 0.0)) for o, w in weights.items())])
+                now[t] = (const, weights)
+            if moved < 1e-12:
+                break
+        return now
 
     def transform(self, df: DataFrame, posterior: bool = False, key: str = "id", seed: int = 0) -> DataFrame:
         from ..functions.columns import hash_unit, inverse_normal_sql
 
-        def filled(x):
-            c = F.col(x).cast("double")
-            return F.coalesce(c, F.lit(self.means[x])) if x in self.means else c
-
+        lacking = sorted({c for t, (_, betas) in self.coefs.items() for c in (t, *betas)})
+        # patterns of missing columns in the data: at most 2 ** columns, a row each
+        mask = F.array(*[F.col(c).isNull() for c in lacking]).alias("m")
+        patterns = [tuple(c for c, m in zip(lacking, r["m"]) if m) for r in df.select(mask).distinct().collect()]
         draws = [c for c in self.coefs if posterior and self.resid_sd.get(c)]
         out = df.withColumns({f"__u_{c}": F.greatest(F.least(hash_unit(key, f"{seed}:{c}"), F.lit(1 - 1e-12)),
                                                      F.lit(1e-12)) for c in draws}) if draws else df
         fills = {}
-        for c, (b0, betas) in self.coefs.items():
-            pred = F.lit(b0)
-            for x, b in betas.items():
-                pred = pred + F.lit(b) * filled(x)
+        known = {p: self._fills(p) for p in patterns if p}
+        for c in self.coefs:
+            pred = F.lit(None).cast("double")
+            for p in (p for p in known if c in p):
+                const, weights = known[p][c]
+                value = F.lit(const)
+                for x, b in weights.items():
+                    value = value + F.lit(b) * F.col(x).cast("double")
+                same = F.lit(True)
+                for x in lacking:
+                    same = same & (F.col(x).isNull() if x in p else F.col(x).isNotNull())
+                pred = F.when(same, value).otherwise(pred)
             if c in draws:
                 pred = pred + F.lit(self.resid_sd[c]) * F.expr(inverse_normal_sql(f"`__u_{c}`"))
             fills[c] = F.coalesce(F.col(c).cast("double"), pred)
@@ -179,9 +219,10 @@ def fit_regression_impute(train: DataFrame, cols: Sequence[str], rounds: int = 1
         "__miss", F.array(*[F.col(c).isNull() for c in cols]))
     cur = FillModel({c: means[c] for c in cols}, cast_double=True).transform(cur)
     prev = None
+    history = []
     for _ in range(rounds):
         new = {}
-        for t in targets:
+        for t in targets:  # in turn: each regression sees the fills of the ones before it
             xs = [c for c in cols if c != t]
             obs = cur.filter(~F.col("__miss")[cols.index(t)])
             terms = [F.lit(1.0)] + [F.col(x) for x in xs]
@@ -201,14 +242,13 @@ def fit_regression_impute(train: DataFrame, cols: Sequence[str], rounds: int = 1
                 r[i] = m[f"r{i}"] or 0.0
             beta = np.linalg.solve(G + ridge * np.eye(p), r)
             new[t] = (float(beta[0]), {x: float(b) for x, b in zip(xs, beta[1:])})
-        coefs = new
-        fills = {}
-        for t, (b0, betas) in coefs.items():
-            pred = F.lit(b0)
-            for x, b in betas.items():
+            pred = F.lit(new[t][0])
+            for x, b in new[t][1].items():
                 pred = pred + F.lit(b) * F.col(x)
-            fills[t] = F.when(F.col("__miss")[cols.index(t)], pred).otherwise(F.col(t))
-        cur = cut_lineage(cur.withColumns(fills))
+            cur = cur.withColumn(t, F.when(F.col("__miss")[cols.index(t)], pred).otherwise(F.col(t)))
+        coefs = new
+        history.append(new)
+        cur = cut_lineage(cur)
         flat = np.array([v for t in targets for v in [coefs[t][0], *coefs[t][1].values()]])
         if prev is not None and np.max(np.abs(flat - prev)) < tol:
             break
@@ -222,7 +262,7 @@ def fit_regression_impute(train: DataFrame, cols: Sequence[str], rounds: int = 1
         r = obs.agg(F.sum(F.pow(F.col(t) - pred, 2)).alias("sse"), F.count(F.lit(1)).alias("n")).first()
         dof = max(1, int(r["n"]) - len(betas) - 1)
         resid[t] = float(math.sqrt((r["sse"] or 0.0) / dof))
-    return RegressionImputeModel(coefs, {c: float(means[c]) for c in cols if means[c] is not None}, resid)
+    return RegressionImputeModel(coefs, {c: float(means[c]) for c in cols if means[c] is not None}, resid, history)
 
 
 # ---------------------------------------------------------------------------

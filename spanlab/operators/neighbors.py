@@ -313,7 +313,7 @@ def mutual_reachability(arr: DataFrame, k: int = 10, min_samples: int = 10, key:
     return out
 
 
-def connected_components(edges: DataFrame, nodes: DataFrame, key: str = "id", max_rounds: int = 100) -> DataFrame:
+def connected_components(edges: DataFrame, nodes: DataFrame, key: str = "id") -> DataFrame:
     """Smallest member key per component.  Each round propagates the minimum
     label over the edges (join + grouped min) and then short-cuts labels
     through the label's own label (pointer jumping), so long chains converge in
@@ -322,7 +322,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, key: str = "id", ma
     e = edges.select(F.col(key).alias("a"), F.col("nbr").alias("b"))
     e = cut_lineage(e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     lab = cut_lineage(nodes.select(F.col(key).alias("a"), F.col(key).alias("label")))
-    for _ in range(max_rounds):
+    while True:
         prop = e.join(lab, "a").groupBy("b").agg(F.min("label").alias("cand"))
         step = (lab.join(prop.withColumnRenamed("b", "a"), "a", "left")
                 .select("a", "label", F.least("label", F.coalesce("cand", "label")).alias("l1")))
@@ -333,8 +333,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame, key: str = "id", ma
         changed = new.filter(F.col("chg")).limit(1).count()
         lab = new.drop("chg")
         if changed == 0:
-            break
-    return lab.select(F.col("a").alias(key), "label")
+            return lab.select(F.col("a").alias(key), "label")
 
 
 def density_clusters(arr: DataFrame, eps: float | None = None, min_samples: int = 10, min_cluster_size: int = 10,
@@ -348,7 +347,7 @@ def density_clusters(arr: DataFrame, eps: float | None = None, min_samples: int
     if eps is None:
         from ..functions.stats import exact_quantiles
 
-        eps = float(exact_quantiles(core, "core", [eps_quantile])[0])  # bounded-memory exact quantile
+        eps = float(exact_quantiles(core, "core", [eps_quantile])[0] or 0.0)
     cores = core.filter(F.col("core") <= F.lit(eps))
     core_arr = arr.join(cores.select(key), key)
     edges = within_dense(core_arr, cores.select(key, F.lit(float(eps)).alias("r")), key, **kw)

@@ -37,7 +37,7 @@ def describe_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFr
     row = df.agg(*[f(F.col(c).cast("double")).alias(f"{n}_{c}") for c in cols
                    for n, f in (("count", F.count), ("mean", F.avg), ("std", F.stddev_samp),
                                 ("min", F.min), ("max", F.max))]).first()
-    qs = {c: exact_quantiles(df, c, [0.25, 0.5, 0.75], row[f"count_{c}"]) for c in cols}
+    qs = exact_quantiles_many(df, cols, [0.25, 0.5, 0.75])
     rows = [(c, int(row[f"count_{c}"]), row[f"mean_{c}"], row[f"std_{c}"], row[f"min_{c}"], qs[c][0], qs[c][1],
              qs[c][2], row[f"max_{c}"]) for c in cols]
     return _rows_df(df.sparkSession, rows, "column string, count long, mean double, std double, min double, "
@@ -76,7 +76,14 @@ def corr_matrix(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """Pearson correlation of every pair (pairwise-complete), long form, one pass."""
     cols = list(cols or numeric_columns(df))
     pairs = [(a, b) for i, a in enumerate(cols) for b in cols[i + 1:]]
-    row = df.agg(*[F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first()
+    def corr(a, b):  # NULL for a constant column (``corr`` divides by its zero spread)
+        x, y = F.col(a).cast("double"), F.col(b).cast("double")
+        spread = F.stddev_pop(F.when(y.isNotNull(), x)) * F.stddev_pop(F.when(x.isNotNull(), y))
+        return F.try_divide(F.covar_pop(x, y), spread)
+
+    if not pairs:
+        return _rows_df(df.sparkSession, [(c, c, 1.0) for c in cols], "var_a string, var_b string, corr double")
+    row = df.agg(*[corr(a, b).alias(f"{i}") for i, (a, b) in enumerate(pairs)]).first()
     rows = []
     for i, (a, b) in enumerate(pairs):
         rows.append((a, b, row[f"{i}"]))
@@ -119,10 +126,12 @@ def auto_bin_count(df: DataFrame, col: str) -> tuple[int, float, float]:
     """numpy ``bins='auto'``: the smaller of the Sturges and Freedman–Diaconis widths."""
     import math
     r = df.agg(F.count(col).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
+    if not r["n"]:
+        return 0, 0.0, 0.0
     n, lo, hi = r["n"], float(r["lo"]), float(r["hi"])
     if hi == lo:
         return 1, lo, hi
-    q25, q75 = exact_quantiles(df, col, [0.25, 0.75], n)
+    q25, q75 = exact_quantiles(df, col, [0.25, 0.75])
     sturges = (hi - lo) / (math.log2(n) + 1.0)
     fd = 2.0 * (q75 - q25) * n ** (-1.0 / 3.0)
     width = min(fd, sturges) if fd > 0 else sturges
@@ -131,6 +140,8 @@ def auto_bin_count(df: DataFrame, col: str) -> tuple[int, float, float]:
 
 def histogram_auto(df: DataFrame, col: str) -> DataFrame:
     bins, lo, hi = auto_bin_count(df, col)
+    if not bins:
+        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n long")
     return fixed_bins(df, col, bins=bins, lo=lo, hi=hi)
 
 
@@ -142,8 +153,10 @@ def hist_density(df: DataFrame, col: str, bins: int = 30) -> DataFrame:
 
 def bandwidth_nrd0(df: DataFrame, col: str) -> float:
     r = df.agg(F.count(col).alias("n"), F.stddev_samp(col).alias("sd")).first()
-    q25, q75 = exact_quantiles(df, col, [0.25, 0.75], r["n"])
-    lo = min(r["sd"], (q75 - q25) / 1.34)
+    if not r["n"]:
+        return 1.0
+    q25, q75 = exact_quantiles(df, col, [0.25, 0.75])
+    lo = min(r["sd"] or 0.0, (q75 - q25) / 1.34)
     if lo <= 0:
         lo = r["sd"] or 1.0
     return 0.9 * lo * r["n"] ** (-0.2)
@@ -157,6 +170,8 @@ def kde_binned(df: DataFrame, col: str, bins: int = 30, grid: int = 64) -> DataF
     n = df.filter(F.col(col).isNotNull()).count()
     bw = bandwidth_nrd0(df, col)
     r = h.agg(F.min("lower"), F.max("upper")).first()
+    if not n:
+        return df.sparkSession.createDataFrame([], "g int, x double, density double")
     lo, hi = r[0], r[1]
     step = (hi - lo) / (grid - 1)
     g = F.explode(F.sequence(F.lit(0), F.lit(grid - 1))).alias("g")
@@ -170,10 +185,15 @@ def kde_binned(df: DataFrame, col: str, bins: int = 30, grid: int = 64) -> DataF
 def boxplot_stats(df: DataFrame, col: str, whisker: float = 1.5) -> DataFrame:
     x = F.col(col).cast("double")
     q1, med, q3 = exact_quantiles(df, col, [0.25, 0.5, 0.75])
-    iqr = q3 - q1
-    lf, hf = q1 - whisker * iqr, q3 + whisker * iqr
-    return df.agg(F.lit(q1).alias("q1"), F.lit(med).alias("median"), F.lit(q3).alias("q3"),
-                  F.lit(iqr).alias("iqr"), F.min(F.when(x >= lf, x)).alias("whisker_lo"),
+    iqr = q3 - q1 if q1 is not None else None
+    lf, hf = (q1 - whisker * iqr, q3 + whisker * iqr) if q1 is not None else (None, None)
+
+    def lit(v):  # no values: NULLs
+        return F.lit(v).cast("double")
+
+    lf, hf = lit(lf), lit(hf)
+    return df.agg(lit(q1).alias("q1"), lit(med).alias("median"), lit(q3).alias("q3"),
+                  lit(iqr).alias("iqr"), F.min(F.when(x >= lf, x)).alias("whisker_lo"),
                   F.max(F.when(x <= hf, x)).alias("whisker_hi"),
                   F.count(F.when((x < lf) | (x > hf), 1)).alias("n_outliers"))
 
@@ -186,27 +206,19 @@ def letter_value_probs(depth: int = 4) -> list[float]:
     return probs
 
 
-PERCENTILE_MAX_DISTINCT = 2_000_000  # distinct values one task may merge for an exact group quantile
-
-
 def grouped_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: Sequence[float],
                       accuracy: int | None = None) -> DataFrame:
-    """Per-group quantiles: exact (linear interpolation) or, with ``accuracy``,
-    the bounded-memory sketch.
-
-    The exact built-in ``percentile`` merges the distinct values of one group
-    in one task, so it is used only after a size check (largest group's
-    distinct-value count ≤ ``PERCENTILE_MAX_DISTINCT``); above it, the
-    distributed rank path (``grouped_exact_quantiles``) is taken."""
+    """Per-group quantiles: exact by distributed ranks (linear interpolation) or,
+    with ``accuracy``, the bounded-memory sketch.  Groups without values have
+    NULL quantiles."""
     x = F.col(col).cast("double")
     if not accuracy:
-        widest = (df.filter(x.isNotNull()).groupBy(*by, x.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-                  .groupBy(*by).agg(F.count(F.lit(1)).alias("__d")).agg(F.max("__d")).first()[0]) or 0
-        if widest > PERCENTILE_MAX_DISTINCT:
-            return grouped_exact_quantiles(df, col, by, probs)
-        q = F.percentile(x, F.array(*[F.lit(float(p)) for p in probs]))
-    else:
-        q = F.percentile_approx(x, list(probs), accuracy)
+        exact = grouped_exact_quantiles(df, col, by, probs)
+        groups = df.select(*by).distinct()
+        same = [groups[c].eqNullSafe(exact[c]) for c in by]
+        return groups.join(exact, same, "left").select(
+            *[groups[c] for c in by], F.coalesce("n", F.lit(0)).cast("long").alias("n"), *[f"q{i}" for i in range(len(probs))])
+    q = F.percentile_approx(x, list(probs), accuracy)
     return df.groupBy(*by).agg(F.count(x).alias("n"), q.alias("__q")).select(
         *by, "n", *[F.col("__q")[i].alias(f"q{i}") for i in range(len(probs))])
 
@@ -245,14 +257,20 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     return e.groupBy("var_a", "var_b", "bin_a", "bin_b").agg(F.count(F.lit(1)).alias("n"))
 
 
+QQ_PIECE = 10_000
+
+
 def qq_points(df: DataFrame, col: str) -> DataFrame:
     """Normal Q-Q data: i-th order statistic vs Φ⁻¹ of Filliben's median (scipy
     ``probplot``).  Ranks from the distributed value-rank helper; ties expand
     back to one row per original row."""
     vr = value_ranks(df, col)
     n = df.filter(F.col(col).isNotNull()).count()
-    rows = vr.select(F.col(col).cast("double").alias("sample"),
-                     F.explode(F.sequence(F.col("n_lt") + 1, F.col("n_lt") + F.col("n_eq"))).alias("i"))
+    # a hot value expands in pieces of at most QQ_PIECE rows, dealt to all tasks
+    piece = F.explode(F.sequence(F.col("n_lt") + 1, F.col("n_lt") + F.col("n_eq"), F.lit(QQ_PIECE).cast("long")))
+    rows = vr.select(F.col(col).cast("double").alias("sample"), (F.col("n_lt") + F.col("n_eq")).alias("last"),
+                     piece.alias("first")).repartition("first")
+    rows = rows.select("sample", F.explode(F.sequence("first", F.least(F.col("last"), F.col("first") + (QQ_PIECE - 1)))).alias("i"))
     last = 0.5 ** (1.0 / n)
     m = (F.when(F.col("i") == 1, F.lit(1.0 - last)).when(F.col("i") == n, F.lit(last))
          .otherwise((F.col("i") - 0.3175) / F.lit(n + 0.365)))
@@ -273,22 +291,23 @@ def profile_numeric(df: DataFrame, cols: Sequence[str] | None = None) -> DataFra
     aggs = [F.count(F.lit(1)).alias("__n")]
     for c in cols:
         x = F.col(c).cast("double")
-        aggs += [F.count(x).alias(f"cnt_{c}"), F.count_distinct(x).alias(f"nd_{c}"),
+        aggs += [F.count(x).alias(f"cnt_{c}"),
                  F.count(F.when(x == 0, 1)).alias(f"z_{c}"), F.avg(x).alias(f"m_{c}"),
                  F.stddev_samp(x).alias(f"s_{c}"), F.skewness(x).alias(f"sk_{c}"), F.kurtosis(x).alias(f"ku_{c}"),
                  F.min(x).alias(f"lo_{c}"), F.max(x).alias(f"hi_{c}")]
     row = df.agg(*aggs).first()
     n = int(row["__n"])
     qs = exact_quantiles_many(df, cols, [0.05, 0.25, 0.5, 0.75, 0.95])
+    dev = df.select(*[F.abs(F.col(c).cast("double") - F.lit(qs[c][2]).cast("double")).alias(c) for c in cols])
+    mads = exact_quantiles_many(dev, cols, [0.5])
+    names = [f"c{i}" for i in range(len(cols))]
+    values = df.select(*[F.col(c).cast("double").alias(n) for c, n in zip(cols, names)]).unpivot([], names, "__col", "__val")
+    distinct = dict(values.filter("__val is not null").distinct().groupBy("__col").count().collect())  # a row per column
     rows = []
-    for c in cols:
-        med = qs[c][2]
-        mad = None
-        if med is not None:
-            dev = df.select(F.abs(F.col(c).cast("double") - F.lit(med)).alias("d"))
-            mad = exact_quantiles(dev, "d", [0.5], row[f"cnt_{c}"])[0]
+    for k, c in enumerate(cols):
+        mad = mads[c][0]
         mean, sd = row[f"m_{c}"], row[f"s_{c}"]
-        rows.append((c, n, n - int(row[f"cnt_{c}"]), int(row[f"nd_{c}"]), int(row[f"z_{c}"]), mean, sd,
+        rows.append((c, n, n - int(row[f"cnt_{c}"]), int(distinct.get(names[k], 0)), int(row[f"z_{c}"]), mean, sd,
                      (sd / mean) if (sd is not None and mean) else None, row[f"sk_{c}"], row[f"ku_{c}"],
                      row[f"lo_{c}"], row[f"hi_{c}"], *qs[c], mad))
     return _rows_df(df.sparkSession, rows,
@@ -315,13 +334,13 @@ def profile_alerts(df: DataFrame, numeric: Sequence[str], categorical: Sequence[
     pc = profile_categorical(df, categorical)
     num = pn.select("column", F.explode(F.array(
         F.when(F.col("distinct") <= 1, "constant"),
-        F.when(F.col("missing") * 100.0 / F.col("n") > t["missing_pct"], "missing"),
+        F.when(F.try_divide(F.col("missing") * 100.0, F.col("n")) > t["missing_pct"], "missing"),
         F.when(F.abs("skewness") > t["skewed"], "skewed"),
-        F.when(F.col("zeros") * 100.0 / F.col("n") > t["zeros_pct"], "zeros"))).alias("alert"))
+        F.when(F.try_divide(F.col("zeros") * 100.0, F.col("n")) > t["zeros_pct"], "zeros"))).alias("alert"))
     cat = pc.select("column", F.explode(F.array(
         F.when(F.col("distinct") <= 1, "constant"),
-        F.when(F.col("missing") * 100.0 / F.col("n") > t["missing_pct"], "missing"),
-        F.when(F.col("distinct") / (F.col("n") - F.col("missing")) > t["high_cardinality"],
+        F.when(F.try_divide(F.col("missing") * 100.0, F.col("n")) > t["missing_pct"], "missing"),
+        F.when(F.try_divide(F.col("distinct"), F.col("n") - F.col("missing")) > t["high_cardinality"],
                "high_cardinality"))).alias("alert"))
     cm = corr_matrix(df, numeric).filter((F.col("var_a") != F.col("var_b")) & (F.abs("corr") > t["high_corr"]))
     corr = cm.select(F.col("var_a").alias("column")).distinct().withColumn("alert", F.lit("high_correlation"))

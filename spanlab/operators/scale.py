@@ -35,14 +35,15 @@ def fit_min_max(train: DataFrame, cols: Sequence[str]) -> AffineModel:
     row = train.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
     params = {}
     for c in cols:
-        lo, hi = float(row[f"lo_{c}"]), float(row[f"hi_{c}"])
+        lo, hi = row[f"lo_{c}"], row[f"hi_{c}"]
+        lo, hi = (float(lo), float(hi)) if lo is not None else (0.0, 0.0)  # no values: identity
         params[c] = (lo, (hi - lo) if hi > lo else 1.0)
     return AffineModel(params)
 
 
 def fit_standardize(train: DataFrame, cols: Sequence[str]) -> AffineModel:
     row = train.agg(*[F.avg(c).alias(f"m_{c}") for c in cols], *[F.stddev_samp(c).alias(f"s_{c}") for c in cols]).first()
-    return AffineModel({c: (float(row[f"m_{c}"]), float(row[f"s_{c}"]) if row[f"s_{c}"] else 1.0) for c in cols})
+    return AffineModel({c: (float(row[f"m_{c}"] or 0.0), float(row[f"s_{c}"]) if row[f"s_{c}"] else 1.0) for c in cols})
 
 
 def fit_robust(train: DataFrame, cols: Sequence[str], quantile_range: tuple[float, float] = (25.0, 75.0)) -> AffineModel:
@@ -51,7 +52,7 @@ def fit_robust(train: DataFrame, cols: Sequence[str], quantile_range: tuple[floa
     qs = exact_quantiles_many(train, cols, [0.5, lo, hi])
     params = {}
     for c in cols:
-        med, a, b = qs[c]
+        med, a, b = (v if v is not None else 0.0 for v in qs[c])  # no values: identity
         params[c] = (med, (b - a) if (b - a) != 0 else 1.0)
     return AffineModel(params)
 
@@ -123,7 +124,8 @@ class PowerModel:
 def fit_power(train: DataFrame, cols: Sequence[str], method: str = "yeo-johnson", grid: int = 41,
               refine: int = 2, bounds: tuple[float, float] = (-2.0, 2.0), standardize: bool = False) -> PowerModel:
     """Lambda by maximum likelihood: a grid in one aggregate pass, then ``refine``
-    finer grids around the argmax (each another single pass)."""
+    finer grids around the argmax (each another single pass).  While the argmax
+    is at an edge of ``bounds``, the bracket is moved there and doubled."""
     lambdas = {}
     for c in cols:
         lo, hi = bounds
@@ -132,6 +134,12 @@ def fit_power(train: DataFrame, cols: Sequence[str], method: str = "yeo-johnson"
             lams = _grid(lo, hi, grid if step == 0 else 21)
             llf = power_llf(train, c, lams, method)
             best = max(llf, key=lambda t: (t[1], -abs(t[0])))
+            while step == 0 and best[0] in (lams[0], lams[-1]) and hi - lo < 64:
+                half = hi - lo
+                lo, hi = best[0] - half, best[0] + half
+                lams = _grid(lo, hi, grid)
+                llf = power_llf(train, c, lams, method)
+                best = max(llf, key=lambda t: (t[1], -abs(t[0])))
             width = (hi - lo) / ((grid if step == 0 else 21) - 1)
             lo, hi = best[0] - width, best[0] + width
         lambdas[c] = best[0]

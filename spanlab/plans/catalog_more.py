@@ -82,9 +82,9 @@ def _nzv_sql(cols, freq_cut):
     parts = []
     for c in cols:
         parts.append(f"""SELECT '{c}' AS col_name, m1, m2, n_unique FROM (
-  SELECT max(cnt) AS m1, count(*) AS n_unique, max(cnt) FILTER (WHERE cnt < (SELECT max(cnt) FROM
-    (SELECT count(*) AS cnt FROM listing WHERE {c} IS NOT NULL GROUP BY {c}))) AS m2
-  FROM (SELECT count(*) AS cnt FROM listing WHERE {c} IS NOT NULL GROUP BY {c}))""")
+  SELECT max(cnt) AS m1, count(*) AS n_unique, max(cnt) FILTER (WHERE place = 2) AS m2
+  FROM (SELECT count(*) AS cnt, row_number() OVER (ORDER BY count(*) DESC) AS place
+        FROM listing WHERE {c} IS NOT NULL GROUP BY {c}))""")
     u = " UNION ALL ".join(parts)
     ratio = "CASE WHEN n_unique <= 1 THEN 0.0E0 ELSE m1 * 1.0E0 / m2 END"
     pct = "n_unique * 100.0E0 / (SELECT count(*) FROM listing)"
