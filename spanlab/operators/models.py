@@ -7,6 +7,7 @@ holds fitted parameters (trees, coefficients, level lists, a few scalars).
 
 from __future__ import annotations
 
+import json
 import math
 from concurrent.futures import ThreadPoolExecutor
 from collections.abc import Sequence
@@ -21,7 +22,7 @@ from pyspark.ml.feature import (Imputer, MinMaxScaler, OneHotEncoder, Polynomial
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import (DecisionTreeRegressor, GBTRegressor, GeneralizedLinearRegression,
                                    LinearRegression, RandomForestRegressor)
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
@@ -33,7 +34,7 @@ OUT = {"min_price": "MIN", "max_price": "MAX"}
 NUMERIC = ["screen_size", "pixels_x", "pixels_y", "touchscreen", "detachable_keyboard", "discrete_gpu",
            "ram", "ssd", "storage", "weight"]
 CATEGORICAL = ["brand", "screen_surface", "cpu", "gpu", "os"]
-MAX_TREE_DEPTH = 30  # Spark rejects deeper trees; reference grids go beyond, so they are clipped
+MAX_TREE_DEPTH = 30  # Spark's limit
 
 
 # ---------------------------------------------------------------------------
@@ -95,7 +96,9 @@ def estimator(kind: str, label: str, prediction: str = "prediction", features: s
     """One Spark regressor.  ``kind``: rf, gbt, tree, enet, glm_gamma."""
     common = dict(featuresCol=features, labelCol=label, predictionCol=prediction)
     if "maxDepth" in params:
-        params["maxDepth"] = int(min(params["maxDepth"], MAX_TREE_DEPTH))
+        if params["maxDepth"] > MAX_TREE_DEPTH:
+            raise ValueError(f"maxDepth {params['maxDepth']}: Spark's trees have at most {MAX_TREE_DEPTH} levels")
+        params["maxDepth"] = int(params["maxDepth"])
     if kind == "rf":
         est = RandomForestRegressor(**common, seed=params.pop("seed", 1), **params)
     elif kind == "gbt":
@@ -133,6 +136,22 @@ class TargetTransform:
             self.params = {"model": pm}
         return self
 
+    def describe(self) -> dict:
+        """Kind and fitted parameters as plain values."""
+        if self.kind != "yeo-johnson" or not self.params:
+            return {"kind": self.kind, "params": self.params}
+        pm = self.params["model"]
+        return {"kind": self.kind, "params": {"method": pm.method, "lambdas": pm.lambdas, "standardize": pm.standardize}}
+
+    @classmethod
+    def restore(cls, about: dict) -> TargetTransform:
+        p = about["params"]
+        if about["kind"] == "yeo-johnson" and p:
+            pm = scale.PowerModel(p["method"], p["lambdas"])
+            pm.standardize = {c: tuple(v) for c, v in p["standardize"].items()}
+            return cls(about["kind"], {"model": pm})
+        return cls(about["kind"], {c: tuple(v) for c, v in p.items()})
+
     def forward(self, c: str) -> Column:
         x = F.col(c).cast("double")
         if self.kind == "none":
@@ -180,7 +199,11 @@ class IntervalModel:
         return dict(zip(self.labels, self.pipeline.stages[-n:]))
 
     def save(self, path: str) -> None:
-        self.pipeline.write().overwrite().save(path)
+        """Fitted stages, labels, numeric columns and target transform under ``path``."""
+        self.pipeline.write().overwrite().save(f"{path}/stages")
+        about = {"labels": self.labels, "numeric": self.numeric, "target": self.target.describe()}
+        spark = SparkSession.active()
+        spark.createDataFrame([(json.dumps(about),)], "value string").coalesce(1).write.mode("overwrite").text(f"{path}/about")
 
 
 def fit_interval_model(train: DataFrame, kind: str = "rf", labels: Sequence[str] = LABELS,
@@ -218,9 +241,11 @@ def fit_interval_model(train: DataFrame, kind: str = "rf", labels: Sequence[str]
     return IntervalModel(model, tuple(labels), tt, tuple(numeric))
 
 
-def load_interval_model(path: str, labels: Sequence[str] = LABELS, numeric: Sequence[str] = NUMERIC,
-                        target: TargetTransform | None = None) -> IntervalModel:
-    return IntervalModel(PipelineModel.load(path), tuple(labels), target or TargetTransform("none"), tuple(numeric))
+def load_interval_model(path: str) -> IntervalModel:
+    """The model that ``save`` wrote: predicts as it did, on the labels' own scale."""
+    about = json.loads(SparkSession.active().read.text(f"{path}/about").first()[0])
+    return IntervalModel(PipelineModel.load(f"{path}/stages"), tuple(about["labels"]),
+                         TargetTransform.restore(about["target"]), tuple(about["numeric"]))
 
 
 def with_truth(pred: DataFrame, truth: DataFrame, key: str = "id") -> DataFrame:
@@ -412,9 +437,14 @@ def fit_rff_regression(train: DataFrame, label: str, gamma: float = 0.1, n_compo
 
 
 def polynomial_features(df: DataFrame, cols: Sequence[str], degree: int = 2) -> DataFrame:
-    """Polynomial expansion (F16) of the numeric columns (complete rows)."""
-    v = VectorAssembler(inputCols=list(cols), outputCol="__v", handleInvalid="skip").transform(
-        cast_numeric(df, cols))
+    """Polynomial expansion (F16) of the numeric columns; missing values count as
+    the column's median, so every row is kept."""
+    from .impute import fit_median
+
+    full = fit_median(df, cols).transform(df)
+    full = full.withColumns({f"__x{i}": F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for i, c in enumerate(cols)})
+    v = VectorAssembler(inputCols=[f"__x{i}" for i in range(len(cols))], outputCol="__v").transform(full)
+    v = v.drop(*[f"__x{i}" for i in range(len(cols))])
     return PolynomialExpansion(degree=degree, inputCol="__v", outputCol="poly").transform(v).drop("__v")
 
 

@@ -269,12 +269,17 @@ def q_recipe_bake(spark, sf):
     return m.transform(te)
 
 
-@register("poly_features")
+POLY = ["screen_size", "ram", "weight"]
+_POLY_X = ", ".join(f"CAST(coalesce({c}, (SELECT quantile_cont({c}, 0.5) FROM listing)) AS DOUBLE) AS x{i}" for i, c in enumerate(POLY))
+
+
+@register("poly_features", f"SELECT id, x0 AS p0, x0 * x0 AS p1, x1 AS p2, x0 * x1 AS p3, x1 * x1 AS p4, x2 AS p5, x0 * x2 AS p6, "
+          f"x1 * x2 AS p7, x2 * x2 AS p8 FROM (SELECT id, {_POLY_X} FROM listing) t")
 def q_poly_features(spark, sf):
     from pyspark.ml.functions import vector_to_array
 
-    p = M.polynomial_features(L(spark, sf), ["screen_size", "ram", "weight"], 2)
-    return p.select("id", F.size(vector_to_array("poly")).alias("n_terms"))
+    p = M.polynomial_features(L(spark, sf), POLY, 2).withColumn("v", vector_to_array("poly"))
+    return p.select("id", *[F.col("v")[i].alias(f"p{i}") for i in range(9)])
 
 
 @register("impute_regression_full")
@@ -288,11 +293,11 @@ def q_impute_regression_full(spark, sf):
 # ---------------------------------------------------------------------------
 # I/O (S1, S2, S5, S6, S7, S8) — written under the session's shared folder
 # ---------------------------------------------------------------------------
-@register("csv_roundtrip")
+@register("csv_roundtrip", "SELECT " + ", ".join(io.LISTING_SCHEMA.names) + " FROM listing")
 def q_csv_roundtrip(spark, sf):
     df = L(spark, sf)
     path = io.scratch_path(spark, "listing-csv")
-    df.write.option("header", True).option("sep", ";").csv(path)
+    io.write_listing(df, path, sep=";")
     return io.read_listing(spark, path, sep=";", schema=io.LISTING_SCHEMA)
 
 
@@ -310,7 +315,7 @@ def q_model_roundtrip(spark, sf):
     """Save / load a fitted interval model; predictions before and after reload
     are compared row by row (the key returns the differing count per label)."""
     tr, te = _split(spark, sf)
-    m = M.fit_interval_model(tr, "gbt", params={**GBT, "maxIter": 5})
+    m = M.fit_interval_model(tr, "gbt", target="yeo-johnson", params={**GBT, "maxIter": 5})
     path = io.scratch_path(spark, "model")
     m.save(path)
     back = M.load_interval_model(path)

@@ -23,24 +23,39 @@ LISTING_SCHEMA = StructType([
     StructField("ssd", IntegerType()), StructField("storage", IntegerType()), StructField("weight", DoubleType()),
     StructField("min_price", DoubleType()), StructField("max_price", DoubleType()),
 ])
+# Blanks in and around values are part of them; quotes inside values are doubled.
+_CSV = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "quote": '"', "escape": '"'}
+_EMPTY = "\x00empty\x00"
 BOM = "﻿"
 
 
 def read_listing(spark: SparkSession, path: str, sep: str = ",", schema: StructType | None = LISTING_SCHEMA,
                  drop_regex: str | None = "Unnamed", normalise_names: bool = False) -> DataFrame:
-    """Delimited listing table with header (S1/S2).  With a schema the header is
-    only skipped (columns bind by position, PERMISSIVE mode nulls bad fields);
-    without one, names come from the header with the UTF-8 BOM stripped, junk
-    columns dropped by regex (S3) and optionally snake-cased (S4)."""
-    reader = spark.read.option("header", True).option("sep", sep).option("mode", "PERMISSIVE").option(
-        "encoding", "UTF-8")
-    if schema is not None:
-        return reader.schema(schema).csv(path)
-    df = reader.option("inferSchema", True).csv(path)
-    df = df.toDF(*[c.lstrip(BOM) for c in df.columns])
+    """Delimited listing table with header (S1/S2).  Names come from the header
+    with the UTF-8 BOM stripped, junk columns dropped by regex (S3) and optionally
+    snake-cased (S4).  With a schema its columns are taken by name and cast (a
+    field that does not parse is NULL); a column that the file lacks is an error.
+    Blanks are kept; an unquoted empty field is NULL."""
+    # a quoted empty field is an empty string: marked on the way in, as only an unquoted one is NULL
+    reader = spark.read.options(header=True, sep=sep, mode="PERMISSIVE", encoding="UTF-8", emptyValue=_EMPTY, **_CSV)
+    df = (reader if schema is not None else reader.option("inferSchema", True)).csv(path)
+    df = df.toDF(*[c.lstrip(BOM).strip() for c in df.columns])
+    df = df.select(*[F.when(F.col(f"`{f.name}`") == _EMPTY, "").otherwise(F.col(f"`{f.name}`")).alias(f.name)
+                     if isinstance(f.dataType, StringType) else F.col(f"`{f.name}`") for f in df.schema])
     if drop_regex:
         df = drop_cols_regex(df, drop_regex)
-    return clean_names(df) if normalise_names else df
+    df = clean_names(df) if normalise_names else df
+    if schema is None:
+        return df
+    lacking = [f.name for f in schema if f.name not in df.columns]
+    if lacking:
+        raise ValueError(f"{path} has no column {', '.join(lacking)}")
+    return df.select(*[F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in schema])
+
+
+def write_listing(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Delimited table with header that ``read_listing`` reads back unchanged."""
+    df.write.mode("overwrite").options(header=True, sep=sep, **_CSV).csv(path)
 
 
 def write_submission(pred: DataFrame, path: str, key: str = "ID", lo: str = "MIN", hi: str = "MAX") -> None:
