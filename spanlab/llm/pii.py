@@ -170,17 +170,18 @@ def features(c: Column) -> dict[str, Column]:
 def label_model(patterns: DataFrame, rounds: int = ROUNDS) -> tuple[Column, dict]:
     """Posterior of a candidate as an expression over kind and votes, and the estimated reliabilities.  ``patterns``
     has (kind, one column per labeler, n)."""
-    n, seen = F.col("n"), [-1, 0, 1]
+    n, y1, seen = F.col("n"), F.col("p"), [-1, 1]  # a 0 is an abstention and no evidence
     p = F.lit(1) / (1 + F.exp(-2.0 * reduce(lambda a, b: a + b, (F.col(x) for x in LABELERS))))
     model: dict = {}
     for _ in range(rounds):
-        sums = {("kind", k, y): F.sum(F.when(F.col("kind") == k, n * w).otherwise(0.0)) for k in KINDS for y, w in ((1, p), (0, 1 - p))}
-        sums |= {(x, v, y): F.sum(F.when(F.col(x) == v, n * w).otherwise(0.0)) for x in LABELERS for v in seen for y, w in ((1, p), (0, 1 - p))}
-        row = patterns.agg(*[s.alias(f"c{i}") for i, s in enumerate(sums.values())]).first()
+        weights = ((1, n * y1), (0, n * (1 - y1)))
+        sums = {("kind", k, y): F.sum(F.when(F.col("kind") == k, w).otherwise(0.0)) for k in KINDS for y, w in weights}
+        sums |= {(x, v, y): F.sum(F.when(F.col(x) == v, w).otherwise(0.0)) for x in LABELERS for v in seen for y, w in weights}
+        row = patterns.withColumn("p", p).agg(*[s.alias(f"c{i}") for i, s in enumerate(sums.values())]).first()
         got = {k: float(row[i] or 0.0) for i, k in enumerate(sums)}
         model = {"kind": {k: (got["kind", k, 1] + 1) / (got["kind", k, 1] + got["kind", k, 0] + 2) for k in KINDS}}
         for x in LABELERS:
-            model[x] = {y: {v: (got[x, v, y] + 1) / (sum(got[x, u, y] for u in seen) + 3) for v in seen} for y in (0, 1)}
+            model[x] = {y: {v: (got[x, v, y] + 1) / (sum(got[x, u, y] for u in seen) + 2) for v in seen} for y in (0, 1)}
         p = posterior(model)
     return p, model
 
@@ -189,7 +190,7 @@ def posterior(model: dict) -> Column:
     from math import log
     s = reduce(lambda rest, k: F.when(F.col("kind") == k, F.lit(log(model["kind"][k] / (1 - model["kind"][k])))).otherwise(rest), KINDS, F.lit(0.0))
     for x in LABELERS:
-        for v in (-1, 0, 1):
+        for v in (-1, 1):
             s = s + F.when(F.col(x) == v, F.lit(log(model[x][1][v] / model[x][0][v]))).otherwise(0.0)
     return F.lit(1) / (1 + F.exp(-s))
 
