@@ -21,14 +21,15 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     if not model.languages:
         return docs
     told = language_id.predict(docs, model, id_cols=docs.columns)
-    return told.filter((F.col("lang_pred") != language_id.UND) & ~F.col("ambiguous")).select(*docs.columns)
+    pred, _, ambiguous = told.columns[-3:]
+    return told.filter((F.col(pred) != language_id.UND) & ~F.col(ambiguous)).select(*docs.columns)
 
 
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document without the lines that are in five documents or more, save in the largest id."""
     out = line_dedup.LineIndex.build(docs).clean(docs)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+        out = out.withColumn("n_chars", F.when(F.col(out.columns[-1]) > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
     return out.select(*docs.columns)
 
 

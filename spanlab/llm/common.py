@@ -36,6 +36,14 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added while ``taken`` has it in any case."""
+    low = {t.lower() for t in taken}
+    while name.lower() in low:
+        name += "_"
+    return name
+
+
 def ranked(df: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:
     """0-based position of each row in a total order, without a single-partition window: range sort, position
     inside the partition, plus the number of rows in earlier partitions (one row per partition)."""

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import CHUNK_BYTES, chunks, random_words, text_bytes
+from .common import CHUNK_BYTES, chunks, free, random_words, text_bytes
 
 BUCKETS = 1 << 15
 N = 3
@@ -144,10 +144,12 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", smo
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] | None = None, text_col: str = "text") -> DataFrame:
-    """``id_cols`` (all but the text where None) and lang_pred, score, ambiguous."""
+    """``id_cols`` (all but the text where None) and lang_pred, score, ambiguous as the last three columns (with an
+    underscore added where ``id_cols`` has the name)."""
     held = docs.sparkSession.sparkContext.broadcast(model)  # languages' codewords and BUCKETS x bits weights
     keep = [c for c in docs.columns if c != text_col] if id_cols is None else id_cols
     source = text_col if text_col in keep else "__text"
+    names = [*keep, *(free(c, keep) for c in ("lang_pred", "score", "ambiguous"))]
 
     def run(batches):
         m = held.value
@@ -173,11 +175,10 @@ def predict(docs: DataFrame, model: LanguageModel, id_cols: list[str] | None = N
                     for k in np.flatnonzero(lettered):
                         lang[k], score[k], unsure[k] = m.languages[best[k]], top[k], close[k]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in keep), pa.array(lang, pa.string()), pa.array(score, pa.float64()), pa.array(unsure)],
-                                                 names=[*keep, "lang_pred", "score", "ambiguous"])
+                                                 names=names)
 
     sel = docs.select(*keep, *([] if text_col in keep else [F.col(text_col).alias("__text")]))
-    schema = T.StructType([*[sel.schema[c] for c in keep], T.StructField("lang_pred", T.StringType()),
-                           T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())])
+    schema = T.StructType([*[sel.schema[c] for c in keep], *(T.StructField(c, t) for c, t in zip(names[-3:], (T.StringType(), T.DoubleType(), T.BooleanType())))])
     return sel.mapInArrow(run, schema)
 
 

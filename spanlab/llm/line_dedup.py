@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import mix64, stored
+from .common import free, mix64, stored
 
 MIN_CHARS, MIN_DOCS = 40, 5
 #: Keys of a shard at creation; the number of shards follows the number of keys.
@@ -269,7 +269,7 @@ class LineIndex:
 
     def clean(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS) -> DataFrame:
         """All rows and columns of ``docs``, ``text_col`` without the dropped lines, plus n_lines (before) and
-        n_dropped.  A text that loses all its lines is empty; null text stays null."""
+        n_dropped as the last two columns (with an underscore added where ``docs`` has the name).  A text that loses all its lines is empty; null text stays null."""
         drop = stored(self.droppable(min_docs).select("key", "max_doc"))
         shards = _shards_for(drop.count())
         screens = stored(_filters(drop.withColumn("shard", _shard(shards))))
@@ -287,7 +287,7 @@ class LineIndex:
         cut = self._cut(suspects.filter("__keys is not null").join(sure, "__rid", "left").select("__row", "__t", "__n", "__drop"))
         out = ready.unionByName(cut)
         cols = [F.col("__t").alias(c) if c == text_col else F.col("__row")[c].alias(c) for c in docs.columns]
-        return out.select(*cols, F.col("__n").alias("n_lines"), F.col("__x").alias("n_dropped"))
+        return out.select(*cols, F.col("__n").alias(free("n_lines", docs.columns)), F.col("__x").alias(free("n_dropped", docs.columns)))
 
     def _suspects(self, rows: DataFrame, tables) -> DataFrame:
         """Adds a row number, the number of lines, and the keys of lines that may have to go (null: none)."""
