@@ -92,7 +92,8 @@ def compare_distributions(frames: Mapping[str, DataFrame], col: str, bins: int =
 
 
 class IntervalMAEEvaluator(Evaluator):
-    """``pyspark.ml`` evaluator for MAE on one label (smaller is better)."""
+    """``pyspark.ml`` evaluator for the MAE of one label or, with comma-separated
+    columns, the sum of the labels' MAEs (smaller is better)."""
 
     labelCol = Param(Params._dummy(), "labelCol", "label column", typeConverter=TypeConverters.toString)
     predictionCol = Param(Params._dummy(), "predictionCol", "prediction column",
@@ -103,8 +104,10 @@ class IntervalMAEEvaluator(Evaluator):
         self._set(labelCol=labelCol, predictionCol=predictionCol)
 
     def _evaluate(self, dataset: DataFrame) -> float:
-        lab, pred = self.getOrDefault(self.labelCol), self.getOrDefault(self.predictionCol)
-        return float(dataset.agg(F.avg(F.abs(F.col(lab) - F.col(pred)))).first()[0])
+        labels = self.getOrDefault(self.labelCol).split(",")
+        preds = self.getOrDefault(self.predictionCol).split(",")
+        row = dataset.agg(*[F.avg(F.abs(F.col(y) - F.col(p))) for y, p in zip(labels, preds, strict=True)]).first()
+        return float(sum(v if v is not None else float("nan") for v in row))
 
     def isLargerBetter(self) -> bool:
         return False

@@ -62,23 +62,16 @@ def binary_surface(df: DataFrame, col: str = "screen_surface", positive: str = "
     return df.withColumn(col, F.coalesce((F.col(col) == positive).cast("int"), F.lit(0)))
 
 
-BROADCAST_MAX_LEVELS = 1_000_000  # rare-level tables up to this many rows are broadcast
-
-
 class LumpRareModel:
-    """Fitted rare-level table (one row per rare level).  It is broadcast only
-    when its counted size is below ``BROADCAST_MAX_LEVELS``; a high-cardinality
-    column (say, unique names, where every level is rare) joins by shuffle."""
+    """Fitted rare-level table (one row per rare level), joined on the level; the
+    planner picks the join from the table's size."""
 
     def __init__(self, col: str, rare: DataFrame, other: str):
         self.col, self.rare, self.other = col, rare, other
-        self.n_rare = rare.count()
 
     def transform(self, df: DataFrame) -> DataFrame:
         flag = "__lump_flag"
         table = self.rare.withColumn(flag, F.lit(True))
-        if self.n_rare <= BROADCAST_MAX_LEVELS:
-            table = F.broadcast(table)
         joined = df.join(table, on=self.col, how="left")
         out = joined.withColumn(self.col, F.when(F.col(flag), F.lit(self.other)).otherwise(F.col(self.col)))
         return out.select(*df.columns)
@@ -89,8 +82,7 @@ def fit_lump_rare(train: DataFrame, col: str, min_count: int = 9, keep: Sequence
     """Levels with count < ``min_count`` (minus ``keep``, plus ``force``) become ``other``.
 
     The level table is a grouped count (partial aggregation before the shuffle)
-    with one row per distinct level; its size is counted at fit time and decides
-    between a broadcast and a shuffle join.
+    with one row per distinct level.
     """
     counts = train.groupBy(col).agg(F.count(F.lit(1)).alias("n")).filter(F.col(col).isNotNull())
     cond = (F.col("n") < min_count)

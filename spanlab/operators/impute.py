@@ -338,7 +338,7 @@ def fit_knn_nominal(train: DataFrame, target: str, numeric: Sequence[str], nomin
     ranges = {c: (float(r[c]) if r[c] else 1.0) for c in num}
     from .encode import fit_levels
 
-    levels = fit_levels(train, cats)  # bounded: raises above MAX_LEVELS distinct levels
+    levels = fit_levels(train, cats)  # a vector slot for each level
 
     def vec():
         parts = [F.col(c).cast("double") / F.lit(ranges[c]) for c in num]

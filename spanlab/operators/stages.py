@@ -106,8 +106,8 @@ def _sse(t, p):
 METRICS: dict[str, Callable[[str, str], Column]] = {
     "mae": lambda t, p: F.avg(F.abs(F.col(t) - F.col(p))),
     "rmse": lambda t, p: F.sqrt(F.avg(F.pow(F.col(t) - F.col(p), 2))),
-    "rsq_trad": lambda t, p: F.lit(1.0) - _sse(t, p) / (F.count(F.col(t)) * F.var_pop(F.col(t))),
-    "rsq": lambda t, p: F.pow(F.corr(F.col(t), F.col(p)), 2),
+    "rsq_trad": lambda t, p: F.lit(1.0) - F.try_divide(_sse(t, p), F.count(F.col(t)) * F.var_pop(F.col(t))),
+    "rsq": lambda t, p: F.pow(F.try_divide(F.covar_pop(F.col(t), F.col(p)), F.stddev_pop(F.when(F.col(p).isNotNull(), F.col(t))) * F.stddev_pop(F.when(F.col(t).isNotNull(), F.col(p)))), 2),
 }
 
 

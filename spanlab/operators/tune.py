@@ -23,6 +23,8 @@ from pyspark.ml.regression import LinearRegression
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.ranking import hash_ranked
+from ..session import cut_lineage
 from . import models as M
 from .sample import with_folds
 
@@ -253,33 +255,34 @@ def fit_stacking(df: DataFrame, bases: dict[str, tuple[str, dict]], label: str =
 # ---------------------------------------------------------------------------
 # Permutation importance (K9)
 # ---------------------------------------------------------------------------
-def _permute(df: DataFrame, col: str, key: str, seed: str, buckets: int) -> DataFrame:
-    """Random permutation of one column within (rep, random bucket): rows are put
-    in hash buckets, ranked inside the bucket by two independent hashes, and the
-    value of rank r under the first order is given to rank r under the second.
-    Bucket membership is random, so every row draws its value from a uniformly
-    random row; window partitions stay ~n/buckets rows, no global sort."""
-    b = F.pmod(F.xxhash64(F.lit(f"b{seed}"), F.col(key)), F.lit(buckets))
-    src = df.select("rep", key, col).withColumn("__b", b)
-    w1 = Window.partitionBy("rep", "__b").orderBy(F.xxhash64(F.lit(f"s{seed}"), F.col("rep"), F.col(key)), key)
-    w2 = Window.partitionBy("rep", "__b").orderBy(F.xxhash64(F.lit(f"t{seed}"), F.col("rep"), F.col(key)), key)
-    donors = src.withColumn("__r", F.row_number().over(w1)).select("rep", "__b", "__r", F.col(col).alias("__v"))
-    takers = src.withColumn("__r", F.row_number().over(w2)).select("rep", "__b", "__r", key)
-    perm = takers.join(donors, ["rep", "__b", "__r"]).select("rep", key, "__v")
-    return df.drop(col).join(perm, ["rep", key]).withColumnRenamed("__v", col)
+def _permute(base: DataFrame, ranked: DataFrame, col: str, key: str, n: int, repeats: int, seed: str) -> DataFrame:
+    """Permutation of one column over all rows in every repeat: rows have a random
+    rank; the row of rank r takes the value of rank (a r + b) mod n, with a and b
+    drawn for each repeat and a prime to n."""
+    rng = random.Random(seed)
+    draws = []
+    for _ in range(repeats):
+        a = rng.randrange(1, 1 << 20)
+        while math.gcd(a, n) != 1:
+            a = rng.randrange(1, 1 << 20)
+        draws.append((a, rng.randrange(n)))
+    a, b = (F.array(*[F.lit(d[i]).cast("long") for d in draws])[F.col("rep")] for i in (0, 1))
+    donors = ranked.select(F.col("__rank").alias("__from"), F.col(col).alias("__v"))
+    return (base.drop(col).withColumn("__from", F.pmod(a * F.col("__rank") + b, F.lit(n))).join(donors, "__from")
+            .withColumnRenamed("__v", col).drop("__from"))
 
 
 def permutation_importance(model: M.IntervalModel, df: DataFrame, features: Sequence[str], repeats: int = 10,
-                           seed: int = 1, key: str = "id", rows_per_bucket: int = 100_000) -> DataFrame:
+                           seed: int = 1, key: str = "id") -> DataFrame:
     """Drop in R² per (feature, label) over ``repeats`` permutations: mean, sd and
     quartiles.  All permuted copies are scored by one ``transform`` and one
     grouped aggregate."""
-    n = df.count()
-    buckets = max(1, n // rows_per_bucket)
-    base = df.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
+    n = max(1, df.count())
+    ranked = cut_lineage(hash_ranked(df, key, seed, "__rank").withColumn("__rank", F.col("__rank") - 1))
+    base = ranked.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
     copies = [base.withColumn("feature", F.lit("__none__"))]
     for c in features:
-        copies.append(_permute(base, c, key, f"{seed}:{c}", buckets).withColumn("feature", F.lit(c)))
+        copies.append(_permute(base, ranked, c, key, n, repeats, f"{seed}:{c}").withColumn("feature", F.lit(c)))
     allc = copies[0]
     for c in copies[1:]:
         allc = allc.unionByName(c)

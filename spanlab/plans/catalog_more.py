@@ -41,8 +41,8 @@ def _levels_sql(cols, src="train"):
           ctes={**TRAIN, "lv": _levels_sql(OHE_COLS)})
 def q_one_hot_long(spark, sf):
     df = L(spark, sf)
-    model = encode.fit_one_hot(_train(df), OHE_COLS)
-    return encode.one_hot_long(model, df.select("id", *OHE_COLS), OHE_COLS).withColumnRenamed("column", "col_name")
+    levels = encode.level_table(_train(df), OHE_COLS)
+    return encode.one_hot_long(levels, df.select("id", *OHE_COLS), OHE_COLS).withColumnRenamed("column", "col_name")
 
 
 DUMMY_COLS = ["brand", "cpu"]
@@ -61,7 +61,7 @@ SELECT id, CASE WHEN os IS NULL THEN 'unknown' WHEN os NOT IN (SELECT os FROM lv
 FROM listing""", ctes=TRAIN)
 def q_novel_unknown(spark, sf):
     df = L(spark, sf)
-    levels = encode.fit_levels(_train(df).filter(F.col("os") != "Chrome OS"), ["os"])
+    levels = encode.level_table(_train(df).filter(F.col("os") != "Chrome OS"), ["os"])
     return encode.novel_unknown(df.select("id", "os"), levels)
 
 
@@ -71,7 +71,7 @@ def q_novel_unknown(spark, sf):
 SELECT l.id, lv.code AS cpu FROM listing l LEFT JOIN lv ON l.cpu = lv.cpu""", ctes=TRAIN)
 def q_ordinal_encode(spark, sf):
     df = L(spark, sf)
-    levels = encode.fit_levels(_train(df), ["cpu"])
+    levels = encode.level_table(_train(df), ["cpu"])
     return encode.ordinal_encode(df.select("id", "cpu"), levels)
 
 
