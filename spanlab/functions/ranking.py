@@ -1,17 +1,17 @@
 """Exact global ranks without a single-partition window.
 
 A window with no ``partitionBy`` moves every row into one task.  Both helpers
-here split the order into buckets, count each bucket (the counts are small and
-bounded by the bucket count), turn the counts into offsets on the driver and
-rank inside each bucket with a partitioned window.
+here split the order into buckets (hash prefixes or ranges), count each bucket,
+turn the counts into offsets (one row per bucket) and rank inside each bucket
+with a partitioned window.
 """
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .columns import hash_key
 
 
@@ -40,23 +40,21 @@ def hash_ranked(df: DataFrame, key: str = "id", seed: int | str = 0, out: str =
             .drop(h, b, "__offset"))
 
 
-def value_ranks(df: DataFrame, col: str, buckets: int = 1024) -> DataFrame:
-    """Distinct non-null values of ``col`` with ``n_lt`` (rows strictly smaller)
-    and ``n_eq`` (rows equal).  Hot values are collapsed by the grouped count
-    first (partial aggregation), so a value that holds a third of the rows is a
-    single row here."""
+def value_ranks(df: DataFrame, col: str) -> DataFrame:
+    """Distinct non-null values of ``col`` (any orderable type) with ``n_lt`` (rows
+    strictly smaller) and ``n_eq`` (rows equal).  Hot values are collapsed by the
+    grouped count first (partial aggregation), so a value that holds a third of
+    the rows is a single row here.  The counts are range-sorted; a value's rows
+    before it are those of earlier partitions (one sum per partition) and those
+    before it in its own."""
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n_eq")).filter(F.col(col).isNotNull())
-    counts = counts.withColumn("__v", F.col(col).cast("double"))
-    probs = [i / buckets for i in range(1, buckets)]
-    qs = counts.agg(F.percentile_approx("__v", probs, 10 * buckets)).first()[0] or []
-    splits = [float("-inf")] + sorted(set(float(q) for q in qs)) + [float("inf")]
-    bucketed = Bucketizer(splits=splits, inputCol="__v", outputCol="__b").transform(counts)
-    per = [(float(r[0]), int(r[1])) for r in bucketed.groupBy("__b").agg(F.sum("n_eq")).collect()]
-    offs = _offsets(df.sparkSession, per, "__b", "double")
-    w = Window.partitionBy("__b").orderBy(col).rowsBetween(Window.unboundedPreceding, -1)
-    return (bucketed.join(F.broadcast(offs), on="__b", how="inner")
-            .withColumn("n_lt", F.col("__offset") + F.coalesce(F.sum("n_eq").over(w), F.lit(0)))
-            .select(col, "n_lt", "n_eq"))
+    s = cut_lineage(counts.orderBy(col).withColumn("__m", F.monotonically_increasing_id()))
+    s = s.withColumn("__p", F.shiftright("__m", 33))
+    before = Window.orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
+    offs = s.groupBy("__p").agg(F.sum("n_eq").alias("__n")).select("__p", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__o"))
+    own = Window.partitionBy("__p").orderBy("__m").rowsBetween(Window.unboundedPreceding, -1)
+    return (s.withColumn("__i", F.coalesce(F.sum("n_eq").over(own), F.lit(0))).join(F.broadcast(offs), on="__p", how="inner")
+            .select(col, (F.col("__o") + F.col("__i")).alias("n_lt"), "n_eq"))
 
 
 def ordered_rank(df: DataFrame, col: str, out: str = "rank") -> DataFrame:

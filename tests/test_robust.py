@@ -117,3 +117,17 @@ def test_csv_by_header_name_and_blanks(spark):
 
 def test_polynomial_features_keep_all_rows(frames):
     assert models.polynomial_features(frames["nulls"], ["a", "b"]).count() == 5
+
+
+def test_ranks_of_string_keys_and_ties(spark):
+    from spanlab.functions.ranking import ordered_rank, value_ranks
+    from spanlab.operators.sample import with_folds
+
+    names = [f"k{i * 7919 % 1000:04d}" for i in range(300)]
+    df = spark.createDataFrame([(n,) for n in names], "id string")
+    got = {r.id: r["rank"] for r in ordered_rank(df, "id").collect()}
+    assert got == {n: i + 1 for i, n in enumerate(sorted(names))}
+    ties = spark.createDataFrame([(v,) for v in [3.0, 1.0, 3.0, 2.0, 3.0, None]], "x double")
+    assert sorted(map(tuple, value_ranks(ties, "x").collect())) == [(1.0, 0, 1), (2.0, 1, 1), (3.0, 2, 3)]
+    sizes = [r["count"] for r in with_folds(df, 5).groupBy("fold").count().collect()]
+    assert sizes == [60] * 5
