@@ -207,9 +207,10 @@ def _erfinv(y: float) -> float:
     return x
 
 
-def hash_key(key: str | Column, seed: int | str) -> Column:
+def hash_key(key: str | Column, seed: int | str | Column) -> Column:
     """Deterministic per-row hash, md5(seed:key) as hex — identical in DuckDB."""
-    return F.md5(F.concat(F.lit(str(seed)), F.lit(":"), col(key).cast("string")))
+    s = seed.cast("string") if isinstance(seed, Column) else F.lit(str(seed))
+    return F.md5(F.concat(s, F.lit(":"), col(key).cast("string")))
 
 
 def hash_unit(key: str | Column, seed: int | str) -> Column:

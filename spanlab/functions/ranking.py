@@ -8,34 +8,30 @@ with a partitioned window.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 from .columns import hash_key
 
 
-def _offsets(spark, counts: list[tuple[int | str, int]], key_name: str, key_type: str) -> DataFrame:
-    rows, run = [], 0
-    for k, n in sorted(counts, key=lambda t: t[0]):
-        rows.append((k, run))
-        run += n
-    return spark.createDataFrame(rows, f"{key_name} {key_type}, __offset long")
-
-
-def hash_ranked(df: DataFrame, key: str = "id", seed: int | str = 0, out: str = "rank",
-                digits: int = 4) -> DataFrame:
-    """1-based rank of each row in the order (md5(seed:key), key).
+def hash_ranked(df: DataFrame, key: str = "id", seed: int | str | Column = 0, out: str = "rank",
+                digits: int = 4, by: Sequence[str] = ()) -> DataFrame:
+    """1-based rank of each row in the order (md5(seed:key), key), within each
+    group of ``by`` (then ``seed`` may be a column of the group).
 
     ``digits`` hex digits of the hash form the buckets (16**digits of them, about
     equal in size because the hash is uniform over distinct keys)."""
-    h = "__h"
-    b = "__b"
+    h, b, by = "__h", "__b", list(by)
     with_h = df.withColumn(h, hash_key(key, seed)).withColumn(b, F.substring(F.col(h), 1, digits))
-    counts = [(r[0], r[1]) for r in with_h.groupBy(b).count().collect()]  # <= 16**digits rows
-    offs = _offsets(df.sparkSession, counts, b, "string")
-    w = Window.partitionBy(b).orderBy(h, key)
-    return (with_h.join(F.broadcast(offs), on=b, how="inner")
+    first = Window.partitionBy(*by) if by else Window.partitionBy()  # over at most 16**digits rows of a group
+    first = first.orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
+    offs = with_h.groupBy(*by, b).agg(F.count(F.lit(1)).alias("__n")).select(
+        *by, b, F.coalesce(F.sum("__n").over(first), F.lit(0)).alias("__offset"))
+    w = Window.partitionBy(*by, b).orderBy(h, key)
+    return (with_h.join(offs, on=[*by, b], how="inner")
             .withColumn(out, F.col("__offset") + F.row_number().over(w))
             .drop(h, b, "__offset"))
 

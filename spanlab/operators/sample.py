@@ -56,16 +56,11 @@ def split_three_way(df: DataFrame, test: float = 0.25, val: float = 0.3, key: st
 
 def repeated_splits(df: DataFrame, seeds: Sequence[int] = (37, 38, 39, 40, 41), test: float = 0.2,
                     key: str = "id") -> DataFrame:
-    """One exact split per seed, long form (seed, key, split)."""
-    n = _n(df)
-    t = int(math.ceil(test * n))
-    out = None
-    for s in seeds:
-        r = hash_ranked(df.select(key), key, s, out="__rank")
-        part = r.select(F.lit(int(s)).alias("seed"), key,
-                        F.when(F.col("__rank") <= t, "test").otherwise("train").alias("split"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    """One exact split per seed, long form (seed, key, split); all seeds in one pass."""
+    t = int(math.ceil(test * _n(df)))
+    each = df.select(key, F.explode(F.array(*[F.lit(int(s)) for s in seeds])).alias("seed"))
+    r = hash_ranked(each, key, F.col("seed"), out="__rank", by=["seed"])
+    return r.select("seed", key, F.when(F.col("__rank") <= t, "test").otherwise("train").alias("split"))
 
 
 def _fold_from_rank(rank0, n: int, k: int):
