@@ -37,3 +37,41 @@ def test_registered(spark):
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op") and n[2].isdigit()] and "pipeline" in names
     assert entry.queries()["pipeline"](spark, SF).count() > 0
+
+
+def test_run_against_brute_force(spark):
+    """The five stages over all documents of the smallest tables, each redone without the operators (the language
+    stage rejects texts without letters only: the model is sure about every document of these tables)."""
+    import hashlib
+    from collections import defaultdict
+
+    import numpy as np
+    import sentencepiece
+
+    from spanlab.llm import piece_codec
+
+    from .conftest import docs_of
+    from .test_groups import brute_groups
+    from .test_language_mixing_topk import brute_targets
+    from .test_lines_passages import brute_lines
+
+    rows = [(i, t, s) for i, t, _, s in docs_of() if any(c.isalpha() for c in t or "")]
+    lines = brute_lines([(i, t) for i, t, _ in rows])
+    rows = [(i, "\n".join(lines[i]), s) for i, _, s in rows]
+    groups = brute_groups([(i, t) for i, t, _ in rows], 5)
+    rows = [r for r in rows if groups[r[0]][1] == r[0]]
+    size = {i: len([w for w in t.split() if w]) for i, t, _ in rows}
+    total = defaultdict(int)
+    for i, _, s in rows:
+        total[s] += size[i]
+    targets, want = brute_targets(dict(total)), []
+    sp = sentencepiece.SentencePieceProcessor(model_file=piece_codec.model_path())
+    for s in total:
+        budget, before = int(targets[s] + 0.5), 0
+        for i, t, _ in sorted((r for r in rows if r[2] == s), key=lambda r: hashlib.md5(f"0:{r[0]}".encode()).hexdigest()):
+            part = min(size[i], max(0, budget % total[s] - before))
+            before += size[i]
+            ids = sp.encode(t, add_bos=True, add_eos=True)
+            one = (i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(sp.decode(ids).encode()).hexdigest())
+            want += [one] * (budget // total[s] + (size[i] > 0 and 2 * part >= size[i]))
+    assert sorted(map(tuple, P.run(spark, SF).collect())) == sorted(want)
