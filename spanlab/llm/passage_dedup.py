@@ -239,7 +239,8 @@ def _contexts(docs: DataFrame, prepared: DataFrame, length: int) -> tuple[DataFr
     """(members, distinct contexts): (h, cid, rid, lo) for every occurrence of a repeated anchor, and (h, cid, n, ctx)."""
     each = prepared.select("rid", "n_bytes", F.explode(F.arrays_zip("h", "w", F.expr("slice(w, 2, size(w))").alias("next"))).alias("x"))
     each = each.select("rid", F.col("x.h").alias("h"), F.col("x.w").alias("lo"), F.coalesce(F.col("x.next"), (F.col("n_bytes") - length + 1).cast("int")).alias("hi"))
-    often = each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h")
+    # a table of its own, so that both sides of the join are shuffled for it and a hot anchor's rows can be split
+    often = stored(each.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("h"))
     cand = each.join(often, "h").groupBy("rid").agg(F.collect_list(F.struct("h", "lo", "hi")).alias("c"))
     texts = prepared.select("rid", "z").join(cand, "rid")
 
