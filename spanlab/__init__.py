@@ -4,7 +4,7 @@ Sub-packages: ``sources`` (readers, writers, fixture views), ``functions``
 (Column builders, exact ranks, exact quantiles), ``operators`` (DataFrame →
 DataFrame steps, fitted models, tuning, text and neighbour operators,
 pipeline stages), ``plans`` (the registered query catalogue with its oracle
-SQL), ``streaming`` (empty: the reference has no streaming surface).
+SQL), ``llm`` (training-data operators).
 """
 
 __version__ = "0.1.0"
