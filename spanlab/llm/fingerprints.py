@@ -140,7 +140,8 @@ def edited(docs: DataFrame, shingle: int = SHINGLE, id_col: str = "doc_id", text
     heads = done.filter("head is not null").select("part", "head")
     order = Window.orderBy("part")
     parts = heads.select("part")
-    parts = parts.crossJoin(parts.agg(F.min("part").alias("least"))).select("part", F.coalesce(F.lead("part").over(order), "least").alias("after"))
+    least = F.min("part").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))  # a row per partition
+    parts = parts.select("part", F.coalesce(F.lead("part").over(order), least).alias("after"))
     ends = (done.filter("tail is not null").select("doc_id", "tail", "part").join(parts, "part")
             .join(heads.withColumnRenamed("part", "after"), "after"))
 
