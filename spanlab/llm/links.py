@@ -70,7 +70,8 @@ def signatures(docs: DataFrame, sign: Callable, shingle: int, rows: int, lower:
 
 def class_sets(wanted: DataFrame, docs: DataFrame, shingle: int, lower: bool, id_col: str, text_col: str) -> DataFrame:
     """(k1, k2, set) of the classes ``wanted`` (id, k1, k2): sorted shingle hashes as bytes, from the whole texts."""
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted, "id")
+    # one plan at every size: a sort-merge join, whatever the number of wanted classes
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text")).join(wanted.hint("merge"), "id")
 
     def sets_of(batches):
         for batch in batches:
