@@ -22,13 +22,16 @@ import json
 import os
 import re
 import struct
+import sys
 import uuid
 import zlib
+from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
+import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
@@ -178,9 +181,14 @@ class PlaneReader:
 
 # --- tokenizer ---
 
+# No apostrophe (contractions are pieces), no "<" (special tokens begin with it), no U+0130 (in lower case it ends in
+# a mark that goes with the punctuation).
+_SPLIT = regex.compile(r"""((?:(?!\u0130)\p{L})+)([!"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)""")
+
+
 class Tokens:
     """Ids of texts by the tokenizers library, remembered for each piece between ASCII spaces and line breaks: the
-    tokenizer drops white space and never joins across it."""
+    tokenizer drops white space and never joins across it, and it splits letters from punctuation."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -192,11 +200,19 @@ class Tokens:
         pieces = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
         if len(self.memo) > MEMO:
             self.memo = {"": b""}
-        new = list(set().union(*pieces).difference(self.memo))
-        for lo in range(0, len(new), 4096):
-            part = new[lo:lo + 4096]
+        new = set().union(*pieces).difference(self.memo)
+        # Letters and ASCII punctuation after them are pieces of their own, and ASCII letters count in lower case.
+        split = [(p, (m[1].lower() if p.isascii() else m[1], m[2])) for p in new if (m := _SPLIT.fullmatch(p))]
+        parts = {x for _, two in split for x in two}
+        for p in new.difference(p for p, _ in split):
+            parts.add(p)
+        todo = list(parts.difference(self.memo))
+        for lo in range(0, len(todo), 4096):
+            part = todo[lo:lo + 4096]
             for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.memo[p] = np.array(e.ids, "<u4").tobytes()
+                self.memo[p] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
+        for p, (a, b) in split:
+            self.memo[p] = self.memo[a] + self.memo[b]
         get = self.memo.__getitem__
         return [b"".join(map(get, p)) for p in pieces]
 
