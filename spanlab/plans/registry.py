@@ -23,8 +23,9 @@ def _load():
 
 def _wrap(fn):
     def run(spark: SparkSession, sf_dir: str):
-        from ..session import ensure_checkpoint_dir
+        from ..session import ensure_checkpoint_dir, ship_package
         ensure_checkpoint_dir(spark)
+        ship_package(spark)
         return fn(spark, sf_dir)
     run.__name__ = getattr(fn, "__name__", "query")
     return run

@@ -64,6 +64,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it, whatever folder the driver was started
+    in.  (On a cluster the package is installed on the executors or sent with ``--py-files``.)"""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    parts = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in parts:
+        env["PYTHONPATH"] = os.pathsep.join([*parts, root])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint (survives executor loss) of an iterative result."""
     ensure_checkpoint_dir(df.sparkSession)
