@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, ship_package
 from . import fingerprints, language_id, line_dedup, mixing, near_dedup, passage_dedup, pii, piece_codec, token_files, top_k
 
 QUERIES = {
@@ -30,6 +30,7 @@ ORACLE = {
 def _wrap(fn):
     def run(spark, sf_dir):
         ensure_checkpoint_dir(spark)
+        ship_package(spark)
         return fn(spark, sf_dir)
     return run
 
