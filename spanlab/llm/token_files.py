@@ -188,13 +188,22 @@ _SPLIT = regex.compile(r"""((?:(?!\u0130)\p{L})+)([!"#$%&()*+,\-./:;=>?@\[\\\]^_
 
 class Tokens:
     """Ids of texts by the tokenizers library, remembered for each piece between ASCII spaces and line breaks: the
-    tokenizer drops white space and never joins across it, and it splits letters from punctuation."""
+    tokenizer drops white space and never joins across it, and it splits letters from punctuation.  Letters that end in
+    a mark in its normal form, or are none in its older tables, join the punctuation; pieces with them stay whole."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
         self.memo: dict[str, bytes] = {"": b""}
+        self.apart: dict[str, bool] = {}
+
+    def _splits(self, letters: str) -> bool:
+        """Whether the tokenizer parts every one of the letters from punctuation after it (asked once per letter)."""
+        for c in set(letters).difference(self.apart):
+            text = self.tok.normalizer.normalize_str(c) + "."
+            self.apart[c] = [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(text)][1:] == ["."]
+        return all(map(self.apart.__getitem__, letters))
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
         pieces = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
@@ -202,7 +211,7 @@ class Tokens:
             self.memo = {"": b""}
         new = set().union(*pieces).difference(self.memo)
         # Letters and ASCII punctuation after them are pieces of their own, and ASCII letters count in lower case.
-        split = [(p, (m[1].lower() if p.isascii() else m[1], m[2])) for p in new if (m := _SPLIT.fullmatch(p))]
+        split = [(p, (m[1].lower() if p.isascii() else m[1], m[2])) for p in new if (m := _SPLIT.fullmatch(p)) and (p.isascii() or self._splits(m[1]))]
         parts = {x for _, two in split for x in two}
         for p in new.difference(p for p, _ in split):
             parts.add(p)

@@ -63,6 +63,20 @@ def test_memo_equals_library():
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(s, add_special_tokens=False).ids
 
 
+def test_memo_equals_library_for_every_letter():
+    """Letters that the tokenizer decomposes into letter and mark, or does not know, join the punctuation."""
+    import sys
+
+    import regex
+
+    t, tok = token_files.Tokens(WORD), Tokenizer.from_file(WORD)
+    letters = [chr(c) for c in range(sys.maxunicode + 1) if regex.match(r"\p{L}", chr(c))]
+    texts = [c + p for p in ".,-" for c in letters] + ["\u091c\u095c,", "\u0958\u0915!", "\u05d0\ufb1d.", "\u09dc\u09dd;", "\u1100\u1161."]
+    want = tok.encode_batch_fast(texts, add_special_tokens=False)
+    bad = [s for ids, s, w in zip(t.batch(texts), texts, want) if np.frombuffer(ids, "<u4").tolist() != w.ids]
+    assert not bad, (len(bad), bad[:10])
+
+
 @pytest.mark.parametrize("bits", [False, True])
 def test_plane_file(tmp_path, bits):
     rng = np.random.default_rng(0)
