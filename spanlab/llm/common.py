@@ -44,6 +44,12 @@ def free(name: str, taken: list[str]) -> str:
     return name
 
 
+def numbered(df: DataFrame) -> tuple[DataFrame, str]:
+    """A stored copy with a number for each row, and the name of that column."""
+    row = free("__row", df.columns)
+    return stored(df.withColumn(row, F.monotonically_increasing_id())), row
+
+
 def ranked(df: DataFrame, order: list[Column], out: str = "rank") -> DataFrame:
     """0-based position of each row in a total order, without a single-partition window: range sort, position
     inside the partition, plus the number of rows in earlier partitions (one row per partition)."""

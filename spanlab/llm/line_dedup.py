@@ -3,7 +3,7 @@
 A line's key is the line without white space (space, 0x09-0x0D) at both ends, A-Z in lower case; keys of at least
 ``min_chars`` characters count.  A ``LineIndex`` holds three tables in the shared folder:
 
-``postings``  (doc_id, key)                     the 128-bit keys of every document, each once per row
+``postings``  (doc_id, key)                     the 128-bit keys of every document, each once per doc_id
 ``refs``      (key, n_docs, max_doc)            exact reference counts
 ``filters``   (shard, table)                    one cuckoo filter for each shard of the keys in ``refs``
 
@@ -17,7 +17,7 @@ largest holder.  Tasks screen their lines with cuckoo filters of the droppable k
 suspect.  Either way the exact table decides, so results are the same.
 
 Defined results: null text counts as one empty line; a null doc_id's text counts nothing and stays whole; rows that
-share a doc_id count one each and keep or lose lines alike; an empty table gives an empty index; other columns of the
+share a doc_id count as one document and keep or lose lines alike; an empty table gives an empty index; other columns of the
 documents are kept by ``clean``.
 """
 
@@ -146,7 +146,7 @@ def postings_of(docs: DataFrame, id_col: str, text_col: str, min_chars: int) ->
                     keys += got
                 yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(keys, pa.binary())], names=["doc_id", "key"])
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).filter("doc_id is not null and text is not null")
-    return rows.mapInArrow(run, "doc_id long, key binary")
+    return rows.mapInArrow(run, "doc_id long, key binary").dropDuplicates(["doc_id", "key"])
 
 
 def _shard(shards: int):

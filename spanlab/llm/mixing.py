@@ -13,10 +13,12 @@ Columns other than those named are left out of ``mix`` and kept by ``mixed_docum
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import ranked, stored
+from .common import numbered, ranked, stored
 
 WEIGHTS = (5.0, 2.0, 1.0)  # by source in code point order, repeating
 CAP = 3.0  # a source is read at most so many times
@@ -50,12 +52,12 @@ def source_targets(per: DataFrame, weights=WEIGHTS, cap: float = CAP, share: flo
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", seed: int = 0,
-        weights=WEIGHTS, cap: float = CAP, share: float = 1.0) -> DataFrame:
-    """(doc_id, size, source_size, target, taken, copies): ``taken`` words of each document by an exact cut at the
+        weights=WEIGHTS, cap: float = CAP, share: float = 1.0, keep: Sequence[str] = ()) -> DataFrame:
+    """(doc_id, size, source_size, target, taken, copies, columns of ``keep``): ``taken`` words of each document by an exact cut at the
     source's budget, ``copies`` whole documents (the one on the cut counts if at least half of it is inside)."""
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.coalesce(F.col(id_col).cast("string"), F.lit("-"))))
     sizes = stored(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).cast("string").alias("source"),
-                               word_count(F.col(text_col)).alias("size"), key.alias("__k"))
+                               word_count(F.col(text_col)).alias("size"), key.alias("__k"), *keep)
                    .withColumn("__s", F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")))
                    .withColumn("__b", F.substring("__k", 1, RANGE_DIGITS)))
     ranges = stored(sizes.groupBy("source", "__s", "__b").agg(F.sum("size").alias("__n")))
@@ -63,7 +65,7 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     targets = targets.select(F.coalesce(F.concat(F.lit("="), "source"), F.lit("-")).alias("__s"), "source_size", "target")
     before = F.coalesce(F.sum("__n").over(Window.partitionBy("__s").orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     offsets = ranges.select("__s", "__b", before.alias("__o")).join(targets, "__s")
-    inside = Window.partitionBy("__s", "__b").orderBy("__k", "size").rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("__s", "__b").orderBy("__k", "size", *keep).rowsBetween(Window.unboundedPreceding, -1)
     rows = sizes.withColumn("__i", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     budget = F.floor(F.col("target") + 0.5)
     epochs = F.when(F.col("source_size") > 0, F.floor(budget / F.greatest(F.col("source_size"), F.lit(1)))).otherwise(F.lit(0)).cast("long")
@@ -72,14 +74,15 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
             .withColumn("__e", epochs)
             .withColumn("__p", F.least(F.col("size"), left).cast("long"))
             .select("doc_id", "size", "source_size", "target", (F.col("__e") * F.col("size") + F.col("__p")).alias("taken"),
-                    (F.col("__e") + F.when((F.col("size") > 0) & (2 * F.col("__p") >= F.col("size")), 1).otherwise(0)).alias("copies")))
+                    (F.col("__e") + F.when((F.col("size") > 0) & (2 * F.col("__p") >= F.col("size")), 1).otherwise(0)).alias("copies"), *keep))
 
 
 def mixed_documents(docs: DataFrame, id_col: str = "doc_id", **params) -> DataFrame:
-    """The documents of the mix with all their columns: a row for each whole copy that the mix takes.  Ids must be
-    unique and not null for the join back; documents with a null id are not taken."""
-    taken = mix(docs, id_col, **params).filter("copies > 0").select(F.col("doc_id").alias("__d"), F.col("copies").alias("__c"))
-    return (docs.join(taken, F.col(id_col) == F.col("__d"))
+    """The documents of the mix with all their columns: a row for each whole copy that the mix takes.  Rows are
+    joined back by a stored number, so repeated and null ids count as any other."""
+    rows, row = numbered(docs)
+    taken = mix(rows, id_col, keep=[row], **params).filter("copies > 0").select(F.col(row).alias("__d"), F.col("copies").alias("__c"))
+    return (rows.join(taken, F.col(row) == F.col("__d"))
             .withColumn("__c", F.explode(F.sequence(F.lit(1), F.col("__c").cast("int")))).select(*docs.columns))
 
 

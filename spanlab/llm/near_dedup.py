@@ -10,7 +10,8 @@ probability 5e-8.
 
 Defined results: texts without words (null, empty, only white space) have an empty set and are linked with nothing; a
 text of fewer words than a shingle has its whole sequence as one; rows with a null id are never linked and are kept;
-rows that share an id are linked by their own texts; other columns are kept by ``deduplicated``.
+rows that share an id are linked by their own texts; ``deduplicated`` chooses among rows, not ids, and keeps other
+columns.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import GOLDEN, mix64
+from .common import GOLDEN, mix64, numbered
 from .links import link_texts
 
 SLOTS, ROWS = 128, 4
@@ -69,9 +70,15 @@ def near_links(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT,
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One document of each group (the smallest id), all rows with a null id, all columns."""
-    gone = near_groups(docs.filter(F.col(id_col).isNotNull()), shingle, percent, id_col, text_col).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone.withColumnRenamed("doc_id", "__gone"), F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    """One row of each group (the smallest id, of rows that share it the first), all rows with a null id, all columns."""
+    rows, row = numbered(docs)
+    some = rows.filter(F.col(id_col).cast("long").isNotNull())
+    ids = some.select(F.col(row).alias("doc_id"), F.col(id_col).cast("long").alias("id"))
+    members = near_groups(some, shingle, percent, row, text_col).filter("n_shingles > 0").select("doc_id", "component_id").join(ids, "doc_id")
+    best = (members.groupBy("component_id").agg(F.min(F.struct("id", "doc_id")).alias("best"), F.count(F.lit(1)).alias("c"))
+            .filter("c > 1").select("component_id", F.col("best.doc_id").alias("best")))
+    gone = members.join(best, "component_id").filter("doc_id <> best").select(F.col("doc_id").alias("__gone"))
+    return rows.join(gone, F.col(row) == F.col("__gone"), "left_anti").select(*docs.columns)
 
 
 def query(spark, sf_dir):

@@ -33,6 +33,51 @@ def test_empty_table_and_unlabelled(spark, make):
     assert P.STAGES[0][1](spark, docs, SF).count() == 2
 
 
+def test_repeated_and_null_ids(spark, make):
+    """Rows are taken and dropped as rows, documents counted as ids."""
+    from collections import Counter
+
+    from spanlab.llm.line_dedup import LineIndex
+
+    def through(stage, rows):
+        return Counter((r.doc_id, r.text, r.source) for r in stage(spark, make(rows), SF).collect())
+
+    def counter(rows):
+        return Counter((i, t, s) for i, t, _, s in rows)
+
+    long = "this line is long enough to be counted as a line of its own"
+    rows = [(1, long, "en", "a")] * 4 + [(2, long, "en", "a")]
+    assert through(P.line_stage, rows) == counter(rows)
+    state = lambda x: sorted(map(tuple, x.refs.select("key", "n_docs", "max_doc").collect()))
+    more = make([(3, long), (3, long), (4, long + "!")])
+    both = LineIndex.build(make(rows)).insert(more)
+    assert sorted(r[1:] for r in state(both)) == [(1, 4), (3, 3)]
+    assert state(both.delete(more.select("doc_id"))) == state(LineIndex.build(make(rows)))
+    rows += [(k, long, "en", "a") for k in (3, 4, 5)]
+    assert through(P.line_stage, rows) == counter([(i, long if i == 5 else "", "en", "a") for i, *_ in rows])
+
+    one, two, three = (" ".join(f"{w}{k}" for k in range(30)) for w in ("cat", "dog", "owl"))
+    rows = [(9, one, "en", "a"), (4, one, "en", "a"), (4, one, "en", "a"), (4, two, "en", "a"), (3, one, "en", "b"),
+            *[(7, three, "en", "a")] * 3, (None, one, "en", "a"), (None, one, "en", "a"), (8, None, "en", "a"), (8, None, "en", "a")]
+    assert through(P.near_stage, rows) == counter([rows[3], rows[4], rows[5], *rows[8:]])
+
+    rows = [(i, "one two three", "en", s) for s in "ab" for i in (4, 4, 4, None, None, None)]
+    got = Counter(s for (_, _, s), n in through(P.mixing_stage, rows).items() for _ in range(n))
+    assert got == {"a": 9, "b": 3}  # budgets of 26 and 10 words
+    rows = [(i, "one two three", "en", "a") for i in (4, 4, 4, None, None, 5)]
+    assert through(P.mixing_stage, rows) == counter(rows)
+
+
+def test_odd_rows_go_through_all_stages(spark, odd):
+    docs = odd
+    for _, stage in P.STAGES[1:-1]:
+        docs = P.stored(stage(spark, docs, SF))
+    # copies of (4, one two three), (5, long) = (6, long) leave one row; texts without words are not taken by the mix
+    assert docs.filter("doc_id = 4 and text = 'one two three'").count() <= 3 and docs.filter("doc_id = 6").count() == 0
+    assert docs.filter("doc_id is null").count() > 0
+    assert P.STAGES[-1][1](spark, docs, SF).count() == docs.count()
+
+
 def test_registered(spark):
     names = list(entry.queries())
     assert [n for n in names if n.startswith("op") and n[2].isdigit()] and "pipeline" in names
