@@ -50,10 +50,12 @@ def grouped_exact_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: S
     3. Bucket counts → running offsets per group (a window over ≤ buckets rows).
     4. Only the buckets holding a needed order statistic are ranked, each in its
        own window partition (group, bucket) of about 1/buckets of the group.
+    The group columns are one struct until the end: unlike the columns, it joins where they are NULL.
     Output: ``by`` columns, ``n`` (non-null count) and ``q0 … q{m-1}``."""
-    by = list(by)
     probs = [float(p) for p in probs]
-    v = F.col(col).cast("double")
+    v = F.col("__x")
+    df = df.select(F.struct(*by).alias("__g"), F.col(col).cast("double").alias("__x"))
+    by = ["__g"]
     counts = df.filter(v.isNotNull()).groupBy(*by, v.alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
     grid = [i / buckets for i in range(1, buckets)]
     bounds = counts.groupBy(*by).agg(F.percentile_approx("__v", grid, accuracy).alias("__bd"),
@@ -85,5 +87,5 @@ def grouped_exact_quantiles(df: DataFrame, col: str, by: Sequence[str], probs: S
     frac = (F.col("n") - 1) * p_arr[F.col("qi")] - F.floor((F.col("n") - 1) * p_arr[F.col("qi")])
     qv = sides.withColumn("q", F.col("lo") + frac * (F.col("hi") - F.col("lo")))
     out = qv.groupBy(*by, "n").pivot("qi", list(range(len(probs)))).agg(F.first("q"))
-    return out.select(*by, F.col("n").cast("long").alias("n"),
+    return out.select("__g.*", F.col("n").cast("long").alias("n"),
                       *[F.col(str(i)).alias(f"q{i}") for i in range(len(probs))])

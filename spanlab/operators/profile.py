@@ -234,8 +234,8 @@ def letter_values(df: DataFrame, col: str, by: Sequence[str], depth: int = 4) ->
 
 def grouped_distribution(df: DataFrame, y: str, x: str, hue: str) -> DataFrame:
     g = grouped_quantiles(df, y, [x, hue], [0.25, 0.5, 0.75])
-    mm = df.groupBy(x, hue).agg(F.min(y).cast("double").alias("min"), F.max(y).cast("double").alias("max"))
-    return g.join(mm, [x, hue]).select(x, hue, "n", F.col("q0").alias("q25"), F.col("q1").alias("q50"),
+    mm = df.groupBy(F.col(x).alias("__x"), F.col(hue).alias("__h")).agg(F.min(y).cast("double").alias("min"), F.max(y).cast("double").alias("max"))
+    return g.join(mm, F.col(x).eqNullSafe(F.col("__x")) & F.col(hue).eqNullSafe(F.col("__h"))).select(x, hue, "n", F.col("q0").alias("q25"), F.col("q1").alias("q50"),
                                        F.col("q2").alias("q75"), "min", "max")
 
 
