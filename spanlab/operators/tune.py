@@ -178,15 +178,25 @@ def oof_predictions(df: DataFrame, kind: str, params: dict, label: str = "max_pr
 
 def learning_curve(df: DataFrame, kind: str, params: dict, label: str = "max_price",
                    sizes: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0), k: int = 5, key: str = "id",
-                   seed: int = 0) -> DataFrame:
+                   seed: int = 0, splits: int | None = None, test: float = 0.2) -> DataFrame:
     """Learning curve (T7): for each fold and nested training fraction, train and
-    test MAE and the fit wall time (size, fold, n_train, mae_train, mae_test, fit_s)."""
+    test MAE and the fit wall time (size, fold, n_train, mae_train, mae_test, fit_s).
+    With ``splits``, so many shuffle splits that hold out ``test`` (P5) in place of k folds."""
     from ..functions.columns import hash_unit
+    from .sample import repeated_splits
 
-    fd = with_folds(df, k, key, shuffle=True, seed=seed).withColumn("__u", hash_unit(key, f"lc{seed}"))
+    base = df.withColumn("__u", hash_unit(key, f"lc{seed}"))
+    if splits is None:
+        fd = with_folds(base, k, key, shuffle=True, seed=seed)
+    else:
+        sp = repeated_splits(df, range(seed, seed + splits), test, key).persist(StorageLevel.MEMORY_AND_DISK)
     rows = []
-    for f in range(k):
-        tr, va = fd.filter(F.col("fold") != f), fd.filter(F.col("fold") == f)
+    for f in range(k if splits is None else splits):
+        if splits is None:
+            tr, va = fd.filter(F.col("fold") != f), fd.filter(F.col("fold") == f)
+        else:
+            one = base.join(sp.filter(F.col("seed") == seed + f).select(key, "split"), key)
+            tr, va = (one.filter(F.col("split") == w).drop("split") for w in ("train", "test"))
         for s in sizes:
             sub = tr.filter(F.col("__u") < F.lit(float(s))) if s < 1.0 else tr
             t0 = time.time()
@@ -196,6 +206,8 @@ def learning_curve(df: DataFrame, kind: str, params: dict, label: str = "max_pri
             e_tr = m.transform(sub, keep=[label]).agg(F.count(F.lit(1)), F.avg(F.abs(F.col(label) - F.col(o)))).first()
             e_te = m.transform(va, keep=[label]).agg(F.avg(F.abs(F.col(label) - F.col(o)))).first()[0]
             rows.append((float(s), f, int(e_tr[0]), float(e_tr[1]), float(e_te), float(fit_s)))
+    if splits is not None:
+        sp.unpersist()
     return df.sparkSession.createDataFrame(
         rows, "size double, fold int, n_train long, mae_train double, mae_test double, fit_s double")
 

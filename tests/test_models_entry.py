@@ -55,3 +55,48 @@ def test_pca_features_width(spark):
     b = both.select(F.size(vector_to_array("features_pca")).alias("n")).first()["n"]
     w = both.select(F.size(vector_to_array("features")).alias("n")).first()["n"]
     assert a == 5 and b == w + 5
+
+
+def test_keys_ask_for_the_whole_job(spark, monkeypatch):
+    """Folds, configurations, splits, seeds and repeats of the registered keys, seen where the work is given out."""
+    import inspect
+
+    from spanlab.plans import catalog_ml as ML
+
+    class Asked(Exception):
+        pass
+
+    def asked(key, name, module=ML.T):
+        real = getattr(module, name)
+
+        def catch(*a, **kw):
+            b = inspect.signature(real).bind(*a, **kw)
+            b.apply_defaults()
+            raise Asked(b.arguments)
+        with monkeypatch.context() as m:
+            m.setattr(module, name, catch)
+            m.setattr(ML.M, "fit_interval_model", lambda *a, **kw: None)
+            try:
+                getattr(ML, f"q_{key}")(spark, "/root/testdata/sf0.001")
+            except Asked as e:
+                return e.args[0]
+
+    for key, n in (("random_search", 120), ("grid_search", 4), ("halton_search", 20), ("cv_curve", 32)):
+        got = asked(key, "cross_validate")
+        assert (len(got["configs"]), got["k"]) == (n, 5), key
+    assert asked("stacking", "fit_stacking")["k"] == 5
+    assert len(asked("coef_path", "coefficient_path", ML.M)["lambdas"]) == 100
+    got = asked("learning_curve", "learning_curve")
+    assert (len(got["sizes"]), got["splits"], got["test"]) == (5, 50, 0.2)
+    assert len(asked("model_comparison_runs", "model_comparison")["seeds"]) == 5
+    got = asked("permutation_importance", "permutation_importance")
+    assert (len(got["features"]), got["repeats"]) == (15, 10)
+
+
+def test_learning_curve_over_splits(spark):
+    from spanlab.operators import tune
+    from spanlab.plans.catalog import L
+
+    rows = tune.learning_curve(L(spark, "/root/testdata/sf0.001"), "tree", {"maxDepth": 2}, sizes=(1.0,), splits=2).collect()
+    n = L(spark, "/root/testdata/sf0.001").count()
+    assert [r.fold for r in rows] == [0, 1] and all(r.n_train == n - -(-n // 5) for r in rows)
