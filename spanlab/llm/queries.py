@@ -5,7 +5,8 @@ from __future__ import annotations
 import corpus_pipeline
 
 from ..session import ensure_checkpoint_dir, ship_package
-from . import fingerprints, language_id, line_dedup, mixing, near_dedup, passage_dedup, pii, piece_codec, token_files, top_k
+from . import (chat, fingerprints, language_id, line_dedup, merkle, mixing, near_dedup, passage_dedup, pii, piece_codec, resampling,
+               token_files, top_k)
 
 QUERIES = {
     "op1_pii_weak_labels": pii.query,
@@ -18,12 +19,16 @@ QUERIES = {
     "op8_minhash_fingerprints": fingerprints.query,
     "op9_norm_sorted_top_k": top_k.query,
     "op10_line_dedup": line_dedup.query,
+    "op11_importance_resampling": resampling.query,
+    "op12_chat_parts": chat.query,
+    "op13_merkle_manifest": merkle.query,
     "pipeline": corpus_pipeline.run,
 }
 ORACLE = {
     "op5_source_mixing": mixing.ORACLE,
     "op9_norm_sorted_top_k": top_k.ORACLE,
     "op10_line_dedup": line_dedup.ORACLE,
+    "op12_chat_parts": chat.ORACLE,
 }
 
 
