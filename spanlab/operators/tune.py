@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from ..functions.ranking import hash_ranked
 from ..session import cut_lineage
 from . import models as M
+from . import trees as G
 from .sample import with_folds
 
 MEAN_METRIC = "mae"
@@ -130,6 +131,95 @@ def cross_validate(df: DataFrame, kind: str, configs: Sequence[dict], label: str
     return spark.createDataFrame(rows, schema)
 
 
+def _fold_targets(tr_of, label: str, target: str, k: int):
+    """One target transform for all folds, or one per fold where it has fitted parameters."""
+    if target in ("none", "log"):
+        return [M.TargetTransform(target)]
+    return [M.TargetTransform(target).fit(tr_of(f), [label]) for f in range(k)]
+
+
+def forest_cross_validate(df: DataFrame, configs: Sequence[dict], label: str = "max_price", k: int = 5, key: str = "id", shuffle: bool = True,
+                          seed: int = 0, target: str = "none", numeric: Sequence[str] = M.NUMERIC, categorical: Sequence[str] = M.CATEGORICAL,
+                          folds: DataFrame | None = None, with_train: bool = False, bootstrap: bool = True, bins: int = 64,
+                          local_rows: int = G.LOCAL_ROWS) -> DataFrame:
+    """``cross_validate`` for forests, every tree of every configuration and fold grown in one plan (``trees.grow``).
+
+    A configuration may name numTrees, maxDepth, minInstancesPerNode and featureSubsetStrategy.  Configurations that
+    differ only in the first two share their trees: a forest of t trees is the first t trees of the largest one, and a
+    tree of depth d is the deepest one cut at d.  (config_id, fold, mae[, mae_train])."""
+    spark = df.sparkSession
+    fd = folds if folds is not None else with_folds(df, k, key, shuffle=shuffle, seed=seed)
+    fd = fd.filter(F.col(label).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    tts = _fold_targets(lambda f: fd.filter(F.col("fold") != f), label, target, k)
+    layout = G.fit_layout(fd, numeric, categorical, bins)
+    rows = G.bin_rows(fd.withColumn("__t", F.col(label).cast("double")), layout, key, [tt.forward(label) for tt in tts] + ["__t"], F.array("fold"))
+    fd.unpersist()
+    d = len(layout.sizes)
+    shared: dict[tuple, dict] = {}
+    for i, c in enumerate(configs):
+        fam = shared.setdefault((c.get("featureSubsetStrategy", "auto"), int(c.get("minInstancesPerNode", 1))), {"count": 0, "depth": 0, "of": []})
+        fam["count"], fam["depth"] = max(fam["count"], int(c.get("numTrees", 1))), max(fam["depth"], int(c.get("maxDepth", 5)))
+        fam["of"].append(i)
+    parts = []
+    scale = G.scales(rows, len(tts))
+    for (strategy, least), fam in sorted(shared.items()):
+        specs = [G.Spec(seed=(seed * k + f) * 1_000_003 + j, target=f % len(tts), op="ne", value=f, features=G.subset(strategy, d, bootstrap), min_rows=least,
+                        max_depth=fam["depth"], bootstrap=bootstrap) for f in range(k) for j in range(fam["count"])]
+        trees = G.grow_forests(rows, specs, layout, len(tts), local_rows, scale)
+        heads, names = [], []
+        for i in fam["of"]:
+            for f in range(k):
+                n = int(configs[i].get("numTrees", 1))
+                heads.append(G.Head(list(range(f * fam["count"], (f + 1) * fam["count"])), n, int(configs[i].get("maxDepth", 5)), specs[f * fam["count"]]))
+                names.append((i, f))
+        scored = G.predict(rows, trees, heads, layout, key, [f"y{len(tts)}"], "all" if with_train else "test")
+        long = (scored.select(F.col(f"y{len(tts)}").alias("t"), F.posexplode(F.arrays_zip("learns", "preds")).alias("h", "z"))
+                .filter("z.preds IS NOT NULL").select("t", "h", "z.learns", "z.preds"))
+        back = tts[0].inverse(F.col("preds"), label)
+        for f, tt in enumerate(tts[1:], 1):
+            back = F.when(F.col("h") % k == f, tt.inverse(F.col("preds"), label)).otherwise(back)
+        err = F.abs(F.col("t") - back)
+        got = long.groupBy("h").agg(F.avg(F.when(~F.col("learns"), err)).alias("e"), F.avg(F.when(F.col("learns"), err)).alias("et")).collect()
+        parts += [(*names[r["h"]], r["e"], *([r["et"]] if with_train else [])) for r in got]
+    schema = "config_id int, fold int, mae double" + (", mae_train double" if with_train else "")
+    return spark.createDataFrame(sorted(parts, key=lambda r: r[:2]), schema)
+
+
+def forest_learning_curve(df: DataFrame, params: dict, label: str = "max_price", sizes: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0),
+                          splits: int = 50, test: float = 0.2, key: str = "id", seed: int = 0, bootstrap: bool = False,
+                          numeric: Sequence[str] = M.NUMERIC, categorical: Sequence[str] = M.CATEGORICAL, bins: int = 64,
+                          local_rows: int = G.LOCAL_ROWS) -> DataFrame:
+    """``learning_curve`` over ``splits`` shuffle splits with all fits in one plan: (size, fold, n_train, mae_train,
+    mae_test, fit_s).  ``fit_s`` is the time in which a fit's trees were grown, its share of the shared passes included."""
+    from ..functions.columns import hash_unit
+    from .sample import repeated_splits
+
+    base = df.filter(F.col(label).isNotNull())
+    sp = repeated_splits(base, range(seed, seed + splits), test, key)
+    held = sp.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("seed", (F.col("split") == "test").alias("out")))), lambda z: z["out"]).alias("__out"))
+    u = hash_unit(key, f"lc{seed}")
+    step = F.lit(G.UNUSED)
+    for j in reversed(range(len(sizes))):
+        step = F.when((u < F.lit(float(sizes[j]))) if sizes[j] < 1.0 else F.lit(True), j).otherwise(step)
+    fd = base.join(held, key).withColumn("__step", step)
+    layout = G.fit_layout(base, numeric, categorical, bins)
+    rows = G.bin_rows(fd, layout, key, [label], F.transform("__out", lambda o: F.when(o, 255).otherwise(F.col("__step"))))
+    count = int(params.get("numTrees", 1))
+    names = [(j, i) for i in range(splits) for j in range(len(sizes))]
+    specs = [G.Spec(seed=(seed + i) * 1_000_003 + t, scheme=i, op="le", value=j, features=G.subset(params.get("featureSubsetStrategy", "auto"), len(layout.sizes), bootstrap),
+                    min_rows=int(params.get("minInstancesPerNode", 1)), max_depth=int(params.get("maxDepth", 5)), bootstrap=bootstrap)
+             for j, i in names for t in range(count)]
+    trees = G.grow_forests(rows, specs, layout, local_rows=local_rows)
+    heads = [G.Head(list(range(h * count, (h + 1) * count)), count, None, specs[h * count]) for h in range(len(names))]
+    scored = G.predict(rows, trees, heads, layout, key, ["y0", "s"])
+    long = (scored.select("y0", "s", F.posexplode(F.arrays_zip("learns", "preds")).alias("h", "z")).filter("z.preds IS NOT NULL").select("y0", "h", "s", "z.learns", "z.preds"))
+    is_test = F.substring("s", (F.floor(F.col("h") / len(sizes)) + 1).cast("int"), F.lit(1)) == F.lit(b"\xff")
+    err = F.abs(F.col("y0") - F.col("preds"))
+    got = long.groupBy("h").agg(F.sum(F.col("learns").cast("long")).alias("n"), F.avg(F.when(F.col("learns"), err)).alias("a"), F.avg(F.when(is_test, err)).alias("b")).collect()
+    rows_ = [(float(sizes[names[r["h"]][0]]), names[r["h"]][1], int(r["n"]), r["a"], r["b"], float(sum(trees[m].seconds for m in heads[r["h"]].members))) for r in got]
+    return df.sparkSession.createDataFrame(sorted(rows_, key=lambda r: (r[1], r[0])), "size double, fold int, n_train long, mae_train double, mae_test double, fit_s double")
+
+
 def summarize(results: DataFrame, value: str = "mae") -> DataFrame:
     """Fold mean and population sd per configuration (T4/T5)."""
     return results.groupBy("config_id").agg(F.avg(value).alias("mean_mae"), F.stddev_pop(value).alias("std_mae"),

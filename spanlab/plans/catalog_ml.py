@@ -173,13 +173,14 @@ def q_oof_predictions(spark, sf):
 # ---------------------------------------------------------------------------
 # Tuning (T1-T5, T7, T8)
 # ---------------------------------------------------------------------------
-RF_SPACE = {"numTrees": [5, 10, 20], "maxDepth": [3, 5, 8, 12, 20, 30], "minInstancesPerNode": [1, 2, 4],
-            "featureSubsetStrategy": ["auto", "sqrt", "onethird"]}
+RF_SPACE = {"numTrees": [100, 200, 300, 400, 500], "maxDepth": [3, 5, 8, 12, 20, 30], "minInstancesPerNode": [1, 2, 4],
+            "featureSubsetStrategy": ["all", "sqrt", "onethird"]}
 
 
 @register("random_search")
 def q_random_search(spark, sf):
-    res, configs = T.random_search(L(spark, sf), "rf", RF_SPACE, n_iter=120, seed=1, label="max_price")
+    configs = T._space_sample(RF_SPACE, 120, 1)
+    res = T.forest_cross_validate(L(spark, sf), configs, label="max_price", seed=1)
     return T.summarize(res).join(T.configs_table(spark, configs), "config_id")
 
 
@@ -199,9 +200,7 @@ def q_halton_search(spark, sf):
 
 @register("cv_curve")
 def q_cv_curve(spark, sf):
-    trees = range(20, 500, 15)
-    res = T.cross_validate(L(spark, sf), "rf", [{"numTrees": t, "maxDepth": 6} for t in trees],
-                           with_train=True)
+    res = T.forest_cross_validate(L(spark, sf), [{"numTrees": t, "maxDepth": 30} for t in range(20, 500, 15)], with_train=True)
     return res.groupBy("config_id").agg(F.avg("mae").alias("mean_test"), F.stddev_pop("mae").alias("std_test"),
                                         F.avg("mae_train").alias("mean_train"),
                                         F.stddev_pop("mae_train").alias("std_train"))
@@ -209,7 +208,7 @@ def q_cv_curve(spark, sf):
 
 @register("learning_curve")
 def q_learning_curve(spark, sf):
-    lc = T.learning_curve(L(spark, sf), "tree", {"maxDepth": 6}, splits=50)
+    lc = T.forest_learning_curve(L(spark, sf), {"maxDepth": 6}, splits=50)
     return lc.groupBy("size").agg(F.avg("n_train").alias("n_train"), F.avg("mae_train").alias("mean_train"),
                                   F.stddev_pop("mae_train").alias("std_train"), F.avg("mae_test").alias("mean_test"),
                                   F.stddev_pop("mae_test").alias("std_test"), F.avg("fit_s").alias("fit_s"))
