@@ -129,7 +129,8 @@ def masked_texts(formatted: Column, spans: Column) -> Column:
 def query(spark, sf_dir):
     said = r"\### Assistant: </turn> ok"
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
-    more = spark.createDataFrame([(-7, 0, "user", said), (-7, 1, "assistant", said)], rows.schema)
+    extra = (F.lit(-7), F.col("id"), F.when(F.col("id") == 0, "user").otherwise("assistant"), F.lit(said))
+    more = spark.range(2).select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(extra, rows.schema)])
     out = format_conversations(rows.unionByName(more).select("conv_id", "turn", "role", text_part(F.col("text")).alias("parts")))
     read = out.select("conv_id", "formatted", read_back(F.col("formatted")).alias("turns"),
                       F.array_join(masked_texts(F.col("formatted"), F.col("loss_spans")), "").alias("loss"))
