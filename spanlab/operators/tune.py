@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions.ranking import hash_ranked
 from ..session import cut_lineage
+from . import boosting as B
 from . import models as M
 from . import trees as G
 from .sample import with_folds
@@ -185,6 +186,24 @@ def forest_cross_validate(df: DataFrame, configs: Sequence[dict], label: str = "
     return spark.createDataFrame(sorted(parts, key=lambda r: r[:2]), schema)
 
 
+def boost_cross_validate(df: DataFrame, configs: Sequence[dict], label: str = "max_price", k: int = 5, key: str = "id", shuffle: bool = True, seed: int = 0,
+                         numeric: Sequence[str] = M.NUMERIC, categorical: Sequence[str] = M.CATEGORICAL, folds: DataFrame | None = None, bins: int = 64,
+                         local_rows: int = G.LOCAL_ROWS) -> DataFrame:
+    """``cross_validate`` for boosting: a configuration names fields of ``boosting.Boost``; the models of all
+    configurations and folds take their rounds together.  With ``patience`` a fold's held-out rows tell when to stop.
+    (config_id, fold, mae, rounds)."""
+    fd = folds if folds is not None else with_folds(df, k, key, shuffle=shuffle, seed=seed)
+    fd = fd.filter(F.col(label).isNotNull())
+    layout = G.fit_layout(fd, numeric, categorical, bins)
+    rows = G.bin_rows(fd, layout, key, [label], F.array("fold"))
+    names = [(i, f) for i in range(len(configs)) for f in range(k)]
+    models = B.fit_boosting(rows, [B.Boost(**{"seed": seed + 1, **configs[i]}, op="ne", value=f) for i, f in names], layout, local_rows)
+    long = (B.boost_predict(rows, models, layout, key, ["y0"]).select("y0", F.posexplode(F.arrays_zip("learns", "preds")).alias("h", "z"))
+            .filter("NOT z.learns AND z.preds IS NOT NULL"))
+    got = long.groupBy("h").agg(F.avg(F.abs(F.col("y0") - F.col("z.preds"))).alias("e")).collect()
+    return df.sparkSession.createDataFrame(sorted((*names[r["h"]], r["e"], models[r["h"]].best) for r in got), "config_id int, fold int, mae double, rounds int")
+
+
 def forest_learning_curve(df: DataFrame, params: dict, label: str = "max_price", sizes: Sequence[float] = (0.1, 0.325, 0.55, 0.775, 1.0),
                           splits: int = 50, test: float = 0.2, key: str = "id", seed: int = 0, bootstrap: bool = False,
                           numeric: Sequence[str] = M.NUMERIC, categorical: Sequence[str] = M.CATEGORICAL, bins: int = 64,

@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from ..operators import boosting as B
 from ..operators import encode, evaluate, impute
 from ..operators import models as M
+from ..operators import trees as G
 from ..operators import tune as T
 from ..sources import io
 from .catalog import L, _train, register
@@ -55,6 +57,32 @@ def q_gbt_absolute_loss(spark, sf):
     return _interval(spark, sf, "gbt", {**GBT, "lossType": "absolute"})
 
 
+def _boosted(spark, sf, objective, **params):
+    """Both labels boosted together on the training split, a fifth of it held out to tell when to stop."""
+    from ..operators.sample import split_hash
+
+    tr, te = _split(spark, sf)
+    lay = G.fit_layout(tr, M.NUMERIC, M.CATEGORICAL)
+    parts = split_hash(tr, 0.8, "id", 1)
+    rows = G.bin_rows(parts, lay, "id", list(M.LABELS), F.array((F.col("split") == "test").cast("int")))
+    specs = [B.Boost(objective, target=i, op="ne", value=1, seed=5, **params) for i in range(2)]
+    models = B.fit_boosting(rows, specs, lay)
+    p = B.boost_predict(G.bin_rows(te, lay, "id", store=False), models, lay, "id")
+    return p.select(F.col("id").alias("ID"), F.col("preds")[0].alias("MIN"), F.col("preds")[1].alias("MAX"))
+
+
+@register("boost_early_stop")
+def q_boost_early_stop(spark, sf):
+    """Row- and column-subsampled boosting that stops after 10 rounds without improvement (M2)."""
+    return _boosted(spark, sf, "squared", rounds=500, rate=0.1, max_depth=5, subsample=0.8, columns=0.8, patience=10)
+
+
+@register("boost_gamma")
+def q_boost_gamma(spark, sf):
+    """Gamma deviance with a log link, L2 penalty and least gain, early stop (M4)."""
+    return _boosted(spark, sf, "gamma", rounds=200, rate=0.3, max_depth=8, lam=1.0, min_rows=3, patience=10, tol=1e-6)
+
+
 @register("enet_interval")
 def q_enet_interval(spark, sf):
     return _interval(spark, sf, "enet", ENET, target="log-standardize", scaler="standard")
@@ -148,7 +176,7 @@ def q_tree_depth_sweep(spark, sf):
 @register("adaboost_r2")
 def q_adaboost_r2(spark, sf):
     tr, te = _split(spark, sf)
-    return M.fit_adaboost_r2(tr, "max_price", n_estimators=5, max_depth=4).transform(te)
+    return B.fit_adaboost(tr, "max_price", 500, 30, numeric=M.NUMERIC, categorical=M.CATEGORICAL).transform(te)
 
 
 @register("rff_regression")
@@ -186,9 +214,9 @@ def q_random_search(spark, sf):
 
 @register("grid_search")
 def q_grid_search(spark, sf):
-    cfgs = T.grid({"maxDepth": [3, 6], "stepSize": [0.1, 0.3]})
-    res = T.cross_validate(L(spark, sf), "gbt", [{**c, "maxIter": 10} for c in cfgs], label="min_price")
-    return T.summarize(res)
+    """Boosting of 200 rounds: 12 configurations x 5 folds, all in one plan."""
+    cfgs = T.grid({"rate": [0.05, 0.1], "features": [6, 8, 10], "subsample": [0.2, 0.8]})
+    return T.summarize(T.boost_cross_validate(L(spark, sf), [{**c, "rounds": 200, "max_depth": 3} for c in cfgs], label="min_price"))
 
 
 @register("halton_search")

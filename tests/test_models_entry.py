@@ -81,12 +81,13 @@ def test_keys_ask_for_the_whole_job(spark, monkeypatch):
             except Asked as e:
                 return e.args[0]
 
-    for key, n in (("random_search", 120), ("grid_search", 4), ("halton_search", 20), ("cv_curve", 32)):
-        got = asked(key, "cross_validate")
+    for key, n, name in (("random_search", 120, "forest_cross_validate"), ("grid_search", 12, "boost_cross_validate"), ("halton_search", 20, "cross_validate"),
+                         ("cv_curve", 32, "forest_cross_validate")):
+        got = asked(key, name)
         assert (len(got["configs"]), got["k"]) == (n, 5), key
     assert asked("stacking", "fit_stacking")["k"] == 5
     assert len(asked("coef_path", "coefficient_path", ML.M)["lambdas"]) == 100
-    got = asked("learning_curve", "learning_curve")
+    got = asked("learning_curve", "forest_learning_curve")
     assert (len(got["sizes"]), got["splits"], got["test"]) == (5, 50, 0.2)
     assert len(asked("model_comparison_runs", "model_comparison")["seeds"]) == 5
     got = asked("permutation_importance", "permutation_importance")
