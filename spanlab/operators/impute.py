@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import math
 from collections.abc import Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
@@ -283,20 +284,31 @@ def _dedupe_donors(donors: DataFrame, key: str, k: int, salts: int = 64) -> Data
 
 
 class KnnImputeModel:
-    """Fills ``target`` from the k nearest donors: mean (numeric) or most
-    frequent value, ties to the smallest (nominal)."""
+    """Fills ``target`` from the k nearest donors: mean (numeric) or most frequent value, ties to the smallest (nominal).
+    A row that shares no feature with any donor gets the donors' mean (their most frequent value); without donors the
+    column stays as it is."""
 
-    def __init__(self, target: str, donors: DataFrame, vec_fn, k: int, key: str, nominal: bool, metric: str,
-                 scale: float = 1.0):
-        self.target, self.donors, self.vec_fn, self.k, self.key = target, donors, vec_fn, k, key
-        self.nominal, self.metric, self.scale = nominal, metric, scale
+    def __init__(self, target: str, donors: DataFrame, numeric: dict[str, float], levels: dict[str, DataFrame], k: int, key: str,
+                 nominal: bool, power: int, fallback):
+        self.target, self.donors, self.numeric, self.levels = target, donors, numeric, levels
+        self.k, self.key, self.nominal, self.power, self.fallback = k, key, nominal, power, fallback
+
+    def vectors(self, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+        from .nearest import coded, row_vector
+
+        rows, codes = coded(df, self.levels)
+        vec = row_vector([F.col(c).cast("double") / F.lit(s) for c, s in self.numeric.items()] + [F.col(c) for c in codes.values()])
+        return rows.select(*keep, vec.alias("vec"))
 
     def neighbours(self, df: DataFrame) -> DataFrame:
-        from .neighbors import knn_between
+        """(key, nbr, dist, rank) of the rows whose target is missing."""
+        from .nearest import nearest
 
-        rec = df.filter(F.col(self.target).isNull()).select(self.key, self.vec_fn().alias("vec"))
-        nn = knn_between(rec, self.donors.select(self.key, "vec"), self.k, key=self.key, metric=self.metric)
-        return nn.withColumn("dist", F.col("dist") / F.lit(self.scale))
+        rec = self.vectors(df.filter(F.col(self.target).isNull()), [self.key])
+        nn = nearest(rec, self.donors.select(self.key, "vec"), self.k, [False] * len(self.numeric) + [True] * len(self.levels), self.power, self.key)
+        p = float(len(self.numeric) + len(self.levels))
+        dist = F.sqrt("value") if self.power == 2 else F.col("value") / p
+        return nn.select(self.key, "nbr", dist.alias("dist"), "rank")
 
     def transform(self, df: DataFrame) -> DataFrame:
         k, t = self.key, self.target
@@ -307,44 +319,61 @@ class KnnImputeModel:
                                       .alias("__fill"))
         else:
             fill = nn.groupBy(k).agg(F.avg("__v").alias("__fill"))
-        return (df.join(fill, k, "left").withColumn(t, F.coalesce(F.col(t), F.col("__fill").cast(df.schema[t].dataType)))
+        kind = df.schema[t].dataType
+        return (df.join(fill, k, "left").withColumn(t, F.coalesce(F.col(t), F.col("__fill").cast(kind), F.lit(self.fallback).cast(kind)))
                 .drop("__fill"))
 
 
-def fit_knn(train: DataFrame, target: str, features: Sequence[str], k: int = 5, key: str = "id") -> KnnImputeModel:
-    """Numeric k-NN imputation (uniform weights).  The distance columns must be
-    complete; the nan-Euclidean weight ``p / present`` is then one constant per
-    receiver, so the neighbour order is the Euclidean one.  Donors are the
-    training rows with ``target`` present; exact neighbours (pivot cells)."""
-    feats = list(features)
+def _present(c: str) -> Column:
+    """The number in a column; NaN counts as missing."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None))
 
-    def vec():
-        return F.array(*[F.col(c).cast("double") for c in feats])
 
-    donors = train.filter(F.col(target).isNotNull()).select(key, target, vec().alias("vec"))
-    return KnnImputeModel(target, _dedupe_donors(donors, key, k), vec, k, key, nominal=False, metric="euclidean")
+def fit_knn(train: DataFrame, target: str, features: Sequence[str], k: int = 5, key: str = "id") -> KnnImputeModel:
+    """Numeric k-NN imputation (uniform weights) under the nan-Euclidean distance: p / present times the squared
+    differences of the features that both rows have.  Donors are the training rows with ``target`` present; the
+    neighbours are exact (``nearest``), the column mean stands in where nothing is shared."""
+    model = KnnImputeModel(target, None, {c: 1.0 for c in features}, {}, k, key, False, 2, None)
+    donors = model.vectors(train.filter(F.col(target).isNotNull()), [key, target])
+    model.fallback = train.agg(F.avg(_present(target))).first()[0]
+    model.donors = cut_lineage(_dedupe_donors(donors, key, k))
+    return model
 
 
 def fit_knn_nominal(train: DataFrame, target: str, numeric: Sequence[str], nominal: Sequence[str], k: int = 5,
                     key: str = "id") -> KnnImputeModel:
-    """Nominal k-NN imputation under the Gower distance (mean over variables of
-    |x−y|/range for numerics and a 0/1 mismatch for factors), majority vote.
-    Gower = L1 on a vector of range-scaled numerics and half-weighted one-hot
-    factors, divided by the variable count, so the L1 pivot cells apply.
-    Ranges and level lists come from ``train`` (one aggregate; level lists are
-    bounded by the factors' cardinality)."""
-    num, cats = list(numeric), list(nominal)
-    r = train.agg(*[(F.max(c) - F.min(c)).alias(c) for c in num]).first() if num else {}
-    ranges = {c: (float(r[c]) if r[c] else 1.0) for c in num}
-    from .encode import fit_levels
-
-    levels = fit_levels(train, cats)  # a vector slot for each level
-
-    def vec():
-        parts = [F.col(c).cast("double") / F.lit(ranges[c]) for c in num]
-        parts += [F.when(F.col(c) == F.lit(v), 0.5).otherwise(0.0) for c in cats for v in levels[c]]
-        return F.array(*parts)
-
-    donors = train.filter(F.col(target).isNotNull()).select(key, target, vec().alias("vec"))
-    return KnnImputeModel(target, _dedupe_donors(donors, key, k), vec, k, key, nominal=True, metric="manhattan",
-                          scale=float(len(num) + len(cats)))
+    """Nominal k-NN imputation under the Gower distance, majority vote: the mean, over the variables that both rows
+    have, of |x - y| / range for numbers and of a 0/1 mismatch for factors.  Factors are dictionary codes (``nearest``),
+    whatever their number of levels; ranges come from ``train`` in one aggregate."""
+    from .nearest import dictionary
+
+    num = list(numeric)
+    r = train.agg(*[(F.max(_present(c)) - F.min(_present(c))).alias(c) for c in num]).first() if num else {}
+    model = KnnImputeModel(target, None, {c: float(r[c]) if r[c] else 1.0 for c in num}, dictionary(train, list(nominal)), k, key, True, 1, None)
+    donors = model.vectors(train.filter(F.col(target).isNotNull()), [key, target])
+    votes = train.filter(F.col(target).isNotNull()).groupBy(target).agg(F.count(F.lit(1)).alias("__n"))
+    top = votes.orderBy(F.col("__n").desc(), F.col(target)).first()
+    model.fallback = top[0] if top else None
+    model.donors = cut_lineage(_dedupe_donors(donors, key, k))
+    return model
+
+
+@dataclass
+class KnnColumnsModel:
+    """One ``KnnImputeModel`` per column; every column is filled from the rows as they were."""
+    models: list[KnnImputeModel]
+
+    def transform(self, df: DataFrame) -> DataFrame:
+        out = df
+        for m in self.models:
+            cols = [m.key, m.target, *[c for c in m.numeric if c != m.target]]
+            filled = m.transform(df.select(*cols)).select(F.col(m.key).alias("__k"), F.col(m.target).alias("__f"))
+            out = out.join(filled, F.col(m.key) == F.col("__k"), "left").withColumn(m.target, F.coalesce(m.target, "__f")).drop("__k", "__f")
+        return out
+
+
+def fit_knn_columns(train: DataFrame, cols: Sequence[str], k: int = 5, key: str = "id") -> KnnColumnsModel:
+    """Numeric k-NN imputation of several columns at once: each column that has missing values in ``train`` is filled
+    from its k nearest donors by all the others."""
+    gaps = train.agg(*[F.count(F.when(_present(c).isNull(), 1)).alias(c) for c in cols]).first()
+    return KnnColumnsModel([fit_knn(train, c, [x for x in cols if x != c], k, key) for c in cols if gaps[c]])

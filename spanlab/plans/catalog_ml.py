@@ -403,6 +403,69 @@ def q_impute_knn_nominal(spark, sf):
     return m.transform(df).select("id", "os")
 
 
+_GAPS = ["screen_size", "ssd", "storage", "detachable_keyboard"]
+
+
+def _with_gaps(spark, sf):
+    """The listing with NULL for no ssd and no storage, so that several features have missing values."""
+    return L(spark, sf).withColumn("ssd", F.expr("nullif(ssd, 0)")).withColumn("storage", F.expr("nullif(storage, 0)"))
+
+
+def _nan_euclid_sql(target: str, features: list[str], k: int = 5) -> str:
+    """k nearest donors over the features that both rows have; the column mean where they share none."""
+    both = [f"(r.{c} IS NOT NULL AND d.{c} IS NOT NULL)" for c in features]
+    n = " + ".join(f"CASE WHEN {b} THEN 1 ELSE 0 END" for b in both)
+    d2 = " + ".join(f"CASE WHEN {b} THEN (r.{c} - d.{c}) * (r.{c} - d.{c}) ELSE 0 END" for b, c in zip(both, features))
+    return f"""(SELECT r.id, avg(r.v) AS fill FROM (SELECT id, v, row_number() OVER (PARTITION BY id ORDER BY round({len(features)}.0E0 / n * d2, 9), did) AS rk
+      FROM (SELECT r.id, d.id AS did, d.{target} AS v, {n} AS n, {d2} AS d2 FROM g r CROSS JOIN g d WHERE r.{target} IS NULL AND d.{target} IS NOT NULL) p
+      WHERE n > 0) r WHERE rk <= {k} GROUP BY r.id)"""
+
+
+_G = "\n, g AS (SELECT id, weight, screen_size, nullif(ssd, 0) AS ssd, nullif(storage, 0) AS storage, detachable_keyboard FROM listing)\n"
+
+
+@register("impute_knn_missing", _G + f"""SELECT g.id, round(coalesce(g.weight, f.fill, (SELECT avg(weight) FROM g)), 6) AS weight
+FROM g LEFT JOIN {_nan_euclid_sql("weight", _GAPS)} f ON g.id = f.id""")
+def q_impute_knn_missing(spark, sf):
+    """nan-Euclidean k-NN imputation with features that are themselves missing in receivers and donors."""
+    df = _with_gaps(spark, sf).select("id", "weight", *_GAPS)
+    return impute.fit_knn(df, "weight", _GAPS, k=5).transform(df).select("id", C.r6("weight").alias("weight"))
+
+
+@register("impute_knn_columns", _G + "SELECT g.id, " + ", ".join(
+    f"round(coalesce(g.{c}, f{i}.fill, (SELECT avg({c}) FROM g)), 6) AS {c}" for i, c in enumerate(["weight", *_GAPS[1:]])) + " FROM g " + " ".join(
+    f"LEFT JOIN {_nan_euclid_sql(c, [x for x in ['weight', *_GAPS] if x != c])} f{i} ON g.id = f{i}.id" for i, c in enumerate(["weight", *_GAPS[1:]])))
+def q_impute_knn_columns(spark, sf):
+    """All numeric columns with gaps filled at once, each from the rows as they were."""
+    cols = ["weight", *_GAPS]
+    df = _with_gaps(spark, sf).select("id", *[F.col(c).cast("double").alias(c) for c in cols])
+    out = impute.fit_knn_columns(df, cols, k=5).transform(df)
+    return out.select("id", *[C.r6(c).alias(c) for c in cols if c != "screen_size"])
+
+
+def _gower_sql() -> str:
+    num, cat = ["screen_size", "ssd", "storage"], ["brand", "gpu", "screen_surface"]
+    n = " + ".join(f"CASE WHEN r.{c} IS NOT NULL AND d.{c} IS NOT NULL THEN 1 ELSE 0 END" for c in num + cat)
+    s = " + ".join([f"CASE WHEN r.{c} IS NOT NULL AND d.{c} IS NOT NULL THEN abs(r.{c} - d.{c}) / rng.{c} ELSE 0 END" for c in num]
+                   + [f"CASE WHEN r.{c} <> d.{c} THEN 1 ELSE 0 END" for c in cat])
+    return f"""
+, g AS (SELECT id, os, screen_size, nullif(ssd, 0) AS ssd, nullif(storage, 0) AS storage, brand, gpu, screen_surface FROM listing),
+rng AS (SELECT {", ".join(f"CAST(max({c}) - min({c}) AS DOUBLE) AS {c}" for c in num)} FROM g),
+p AS (SELECT r.id, d.id AS did, d.os, ({s}) * 6.0E0 / ({n}) AS v FROM g r CROSS JOIN g d CROSS JOIN rng WHERE r.os IS NULL AND d.os IS NOT NULL AND ({n}) > 0),
+k AS (SELECT id, os, row_number() OVER (PARTITION BY id ORDER BY round(v, 9), did) AS rk FROM p),
+v AS (SELECT id, os, count(*) AS n FROM k WHERE rk <= 5 GROUP BY id, os),
+f AS (SELECT id, os AS fill FROM (SELECT id, os, row_number() OVER (PARTITION BY id ORDER BY n DESC, os) AS rn FROM v) z WHERE rn = 1)
+SELECT g.id, coalesce(g.os, f.fill) AS os FROM g LEFT JOIN f ON g.id = f.id"""
+
+
+@register("impute_gower_missing", _gower_sql())
+def q_impute_gower_missing(spark, sf):
+    """Gower k-NN imputation, weights renormalised over the numbers and factors that both rows have."""
+    df = _with_gaps(spark, sf).select("id", "os", "screen_size", "ssd", "storage", "brand", "gpu", "screen_surface")
+    m = impute.fit_knn_nominal(df, "os", ["screen_size", "ssd", "storage"], ["brand", "gpu", "screen_surface"], k=5)
+    return m.transform(df).select("id", "os")
+
+
 @register("ols_one_feature", "SELECT round(regr_intercept(max_price, screen_size), 4) AS intercept, "
                              "round(regr_slope(max_price, screen_size), 4) AS slope FROM listing")
 def q_ols_one_feature(spark, sf):
