@@ -42,16 +42,16 @@ def snake_case(name: str) -> str:
 
 
 def clean_names(df: DataFrame) -> DataFrame:
-    """Header to snake_case, de-duplicated with a numeric suffix."""
-    seen: dict[str, int] = {}
-    out = []
+    """Header to snake_case, de-duplicated with the first numeric suffix that makes a name not used before."""
+    out: list[str] = []
+    used: set[str] = set()
     for c in df.columns:
-        s = snake_case(c)
-        if s in seen:
-            seen[s] += 1
-            s = f"{s}_{seen[s]}"
-        else:
-            seen[s] = 1
+        base, n = snake_case(c), 1
+        s = base
+        while s in used:
+            n += 1
+            s = f"{base}_{n}"
+        used.add(s)
         out.append(s)
     return df.toDF(*out)
 

@@ -21,9 +21,12 @@ def interval_mae(df: DataFrame, truth: Sequence[str] = ("min_price", "max_price"
 
 def interval_mae_flat(df: DataFrame, truth: Sequence[str] = ("min_price", "max_price"),
                       pred: Sequence[str] = ("MIN", "MAX")) -> DataFrame:
-    """MAE over the stacked (min, max) values, doubled — equals ``mae_total``."""
-    s = F.abs(F.col(truth[0]) - F.col(pred[0])) + F.abs(F.col(truth[1]) - F.col(pred[1]))
-    return df.agg(F.try_divide(F.sum(s), F.count(s)).alias("mae_flat"))
+    """Mean error of the stacked (min, max) values, doubled — equals ``mae_total``.
+    The two errors are summed and counted apart: a row that lacks one of them
+    still counts for the other."""
+    parts = [F.abs(F.col(t) - F.col(p)) for t, p in zip(truth, pred)]
+    lo, hi = (F.try_divide(F.sum(e), F.count(e)) for e in parts)
+    return df.agg((lo + hi).alias("mae_flat"))
 
 
 def mae(df: DataFrame, truth: str, pred: str) -> DataFrame:

@@ -104,7 +104,7 @@ def _pivot_grid(pts, piv_ids, piv, key, metric):
     import pandas as pd
 
     prow = sorted(((r["pivot"], r["pvec"]) for r in piv.collect()), key=lambda t: t[0])
-    pid = np.array([t[0] for t in prow], dtype=np.int64)
+    pid = np.array([t[0] for t in prow])
     P = np.array([t[1] for t in prow], dtype=np.float64)
     manhattan = metric == "manhattan"
     key_type = pts.schema[key].dataType.simpleString()
@@ -119,7 +119,8 @@ def _pivot_grid(pts, piv_ids, piv, key, metric):
             yield pd.DataFrame({key: np.repeat(b[key].to_numpy(), len(pid)), "pivot": np.tile(pid, len(b)),
                                 "d": d.ravel()})
 
-    return cut_lineage(pts.select(key, "vec").mapInPandas(dist, f"{key} {key_type}, pivot long, d double"))
+    pivot_type = piv.schema["pivot"].dataType.simpleString()
+    return cut_lineage(pts.select(key, "vec").mapInPandas(dist, f"{key} {key_type}, pivot {pivot_type}, d double"))
 
 
 def _own(grid, key):
@@ -155,20 +156,20 @@ def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int =
 
     mpts = pts if members is None else members
     cg = F.pmod(F.xxhash64(F.col("cell")), F.lit(cell_groups)).cast("int")
-    q = (cand.join(pts, key).select("cell", F.col(key).cast("long").alias("x"), "r", F.col("vec").alias("vx"))
+    x_type, y_type = (t.schema[key].dataType.simpleString() for t in (pts, mpts))
+    q = (cand.join(pts, key).select("cell", F.col(key).alias("x"), "r", F.col("vec").alias("vx"))
          .withColumn("chunk", F.pmod(F.xxhash64("x"), F.lit(query_chunks)).cast("int"))
          .withColumn("cg", cg))
     m = (own.select(F.col(key).alias("y"), "cell").join(mpts.withColumnRenamed(key, "y"), "y")
-         .select("cell", F.col("y").cast("long").alias("y"), "vec")
+         .select("cell", "y", "vec")
          .withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(query_chunks - 1).cast("int"))))
          .withColumn("cg", cg))
-    # both sides must carry identical key types: cogroup hash-partitions each
-    # side by its own key values, and an int and a bigint hash differently
     manhattan = metric == "manhattan"
 
+    empty = pd.DataFrame({"x": pd.Series([], dtype="str" if x_type == "string" else "int64"),
+                          "y": pd.Series([], dtype="str" if y_type == "string" else "int64"), "dist": pd.Series([], dtype="float64")})
+
     def block(qd: pd.DataFrame, md: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"x": pd.Series([], dtype="int64"), "y": pd.Series([], dtype="int64"),
-                              "dist": pd.Series([], dtype="float64")})
         if qd.empty or md.empty:
             return empty
         parts = [one_cell(qc, md[md["cell"] == c]) for c, qc in qd.groupby("cell", sort=False)]
@@ -176,13 +177,12 @@ def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int =
         return pd.concat(parts, ignore_index=True) if parts else empty
 
     def one_cell(qd: pd.DataFrame, md: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({"x": pd.Series([], dtype="int64"), "y": pd.Series([], dtype="int64"),
-                              "dist": pd.Series([], dtype="float64")})
         if qd.empty or md.empty:
             return empty
         X = np.vstack(qd["vx"].to_numpy()).astype(np.float64)
         Y = np.vstack(md["vec"].to_numpy()).astype(np.float64)
         xs, ys, r = qd["x"].to_numpy(), md["y"].to_numpy(), qd["r"].to_numpy()
+        xs, ys = (v.astype(str) if v.dtype == object else v for v in (xs, ys))
         out_x, out_y, out_d = [], [], []
         step = max(1, 2_000_000 // max(1, Y.shape[0] * Y.shape[1]))
         for i in range(0, X.shape[0], step):
@@ -210,7 +210,7 @@ def _pairs_dense(pts, own, cand, key, k: int | None = None, query_chunks: int =
         return pd.DataFrame({"x": np.concatenate(out_x), "y": np.concatenate(out_y), "dist": np.concatenate(out_d)})
 
     return (q.groupBy("cg", "chunk").cogroup(m.groupBy("cg", "chunk"))
-            .applyInPandas(block, "x long, y long, dist double"))
+            .applyInPandas(block, f"x {x_type}, y {y_type}, dist double"))
 
 
 def _radius_knn(grid, stats, pts, key, need):

@@ -111,7 +111,7 @@ def fixed_bins(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = (),
         r = df.agg(F.min(x), F.max(x)).first()
         lo, hi = (r[0] if lo is None else lo), (r[1] if hi is None else hi)
     if lo is None:
-        return df.sparkSession.createDataFrame([], "bin int, lower double, upper double, n long")
+        return df.limit(0).select(*by, F.lit(0).alias("bin"), F.lit(0.0).alias("lower"), F.lit(0.0).alias("upper"), F.lit(0).cast("long").alias("n"))
     width = (hi - lo) / bins if hi > lo else 1.0
     b = F.least(F.floor((x - F.lit(lo)) / F.lit(width)).cast("int"), F.lit(bins - 1))
     counts = df.filter(x.isNotNull()).groupBy(*by, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
@@ -122,8 +122,9 @@ def fixed_bins(df: DataFrame, col: str, bins: int = 30, by: Sequence[str] = (),
                       (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("upper"), F.col("n").cast("long").alias("n"))
 
 
-def auto_bin_count(df: DataFrame, col: str) -> tuple[int, float, float]:
-    """numpy ``bins='auto'``: the smaller of the Sturges and Freedman–Diaconis widths."""
+def auto_bin_count(df: DataFrame, col: str, max_bins: int = 100_000) -> tuple[int, float, float]:
+    """numpy ``bins='auto'``: the smaller of the Sturges and Freedman–Diaconis widths.
+    More than ``max_bins`` (a far outlier over a narrow middle) are refused."""
     import math
     r = df.agg(F.count(col).alias("n"), F.min(col).alias("lo"), F.max(col).alias("hi")).first()
     if not r["n"]:
@@ -135,7 +136,10 @@ def auto_bin_count(df: DataFrame, col: str) -> tuple[int, float, float]:
     sturges = (hi - lo) / (math.log2(n) + 1.0)
     fd = 2.0 * (q75 - q25) * n ** (-1.0 / 3.0)
     width = min(fd, sturges) if fd > 0 else sturges
-    return int(math.ceil((hi - lo) / width)), lo, hi
+    bins = int(math.ceil((hi - lo) / width))
+    if bins > max_bins:
+        raise ValueError(f"{col}: {bins} bins of width {width:g} from {lo:g} to {hi:g}; more than max_bins = {max_bins}: clip the column or give a bin count")
+    return bins, lo, hi
 
 
 def histogram_auto(df: DataFrame, col: str) -> DataFrame:
@@ -245,7 +249,7 @@ def pair_bins(df: DataFrame, cols: Sequence[str], bins: int = 10) -> DataFrame:
     r = df.agg(*[F.min(c).alias(f"lo_{c}") for c in cols], *[F.max(c).alias(f"hi_{c}") for c in cols]).first()
     idx = {}
     for c in cols:
-        lo, hi = float(r[f"lo_{c}"]), float(r[f"hi_{c}"])
+        lo, hi = float(r[f"lo_{c}"] or 0), float(r[f"hi_{c}"] or 0)  # no value: no bin
         w = (hi - lo) / bins if hi > lo else 1.0
         # least() skips NULLs, so a NULL value must stay NULL explicitly
         idx[c] = F.when(F.col(c).isNotNull(), F.least(
@@ -271,7 +275,7 @@ def qq_points(df: DataFrame, col: str) -> DataFrame:
     rows = vr.select(F.col(col).cast("double").alias("sample"), (F.col("n_lt") + F.col("n_eq")).alias("last"),
                      piece.alias("first")).repartition("first")
     rows = rows.select("sample", F.explode(F.sequence("first", F.least(F.col("last"), F.col("first") + (QQ_PIECE - 1)))).alias("i"))
-    last = 0.5 ** (1.0 / n)
+    last = 0.5 ** (1.0 / max(1, n))
     m = (F.when(F.col("i") == 1, F.lit(1.0 - last)).when(F.col("i") == n, F.lit(last))
          .otherwise((F.col("i") - 0.3175) / F.lit(n + 0.365)))
     return rows.withColumn("m", m).select("i", F.expr(inverse_normal_sql("m")).alias("theoretical"), "sample")

@@ -86,7 +86,7 @@ def with_weights(df: DataFrame, col: str, order: int = 1, out: str = "weight") -
     back as a literal — no global window."""
     if order == 0:
         n = df.count()
-        return df.withColumn(out, F.lit(1.0 / n))
+        return df.withColumn(out, F.lit(1.0 / max(1, n)))
     total = df.agg(F.sum(F.pow(F.col(col), order))).first()[0]
     return df.withColumn(out, F.pow(F.col(col), order) / F.lit(total))
 
