@@ -17,7 +17,7 @@ A byte is removed when a string of ``LENGTH`` bytes that covers it starts at ano
    ``LENGTH / GRAM`` rounds the undivided intervals are the strings of ``LENGTH`` bytes.  An interval of total
    multiplicity two or more repeats.  A second hash over whole windows guards against colliding symbol names.
 
-An anchor with more than ``HEAVY`` different contexts would outgrow a bucket; its windows are counted one by one by a
+An anchor with one distinct context needs no merge: its windows occur as often as the context.  An anchor with more than ``HEAVY`` different contexts would outgrow a bucket; its windows are counted one by one by a
 128-bit hash over all tasks instead, which gives the same answer.
 
 Defined results: null text counts as empty; texts shorter than ``LENGTH`` lose nothing; rows are judged one by one,
@@ -162,9 +162,9 @@ def _stable_order(x: np.ndarray) -> np.ndarray:
     return order
 
 
-def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], rounds: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Merge transforms.  Returns the place of every suffix in merged order, the number of its interval of equal
-    prefixes of ``rounds`` symbols, and the common prefix with the suffix before it (in symbols, at most ``rounds``)."""
+def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], rounds: int) -> tuple[np.ndarray, np.ndarray]:
+    """Merge transforms.  Returns the place of every suffix in merged order and its common prefix with the suffix before
+    it (in symbols, at most ``rounds``)."""
     front = np.concatenate([s[0] for s in shards])
     place = np.concatenate([s[1] for s in shards])
     z = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(s[0]) for s in shards])  # the interleave
@@ -181,7 +181,7 @@ def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], rounds: int) -
         lcp[parts & (lcp == rounds)] = k
         block = np.cumsum(parts) - 1
         nth[np.argsort(z, kind="stable")] = np.arange(n)
-    return place[nth], block, lcp
+    return place[nth], lcp
 
 
 def repeated_windows(texts: list[bytes], times: np.ndarray, length: int = LENGTH, gram: int = GRAM, shard_bytes: int = SHARD_BYTES) -> list[np.ndarray]:
@@ -191,7 +191,8 @@ def repeated_windows(texts: list[bytes], times: np.ndarray, length: int = LENGTH
     if len(np.unique(shard_of)) > 1 << 16:
         raise ValueError("too many shards for one bucket")
     cuts = np.concatenate([np.flatnonzero(np.concatenate([[True], shard_of[1:] != shard_of[:-1]])), [len(texts)]])
-    place, block, _ = merge_transforms([c.shard(a, b) for a, b in zip(cuts[:-1], cuts[1:])], c.rounds)
+    place, lcp = merge_transforms([c.shard(a, b) for a, b in zip(cuts[:-1], cuts[1:])], c.rounds)
+    block = np.cumsum(lcp < c.rounds)  # intervals of equal prefixes of the whole length
     start = np.flatnonzero(place >= 0)
     place, block = place[start], block[start]
     whole = np.flatnonzero(c.at[place] <= c.size[c.owner[place]] - length)
@@ -276,12 +277,14 @@ def _contexts(docs: DataFrame, prepared: DataFrame, length: int) -> tuple[DataFr
 
 def _repeats(distinct: DataFrame, length: int, heavy: int) -> DataFrame:
     """(h, cid, start, stop): runs of repeated windows of every distinct context, counted from its first."""
-    size = distinct.agg(F.sum(F.length("ctx"))).first()[0] or 0
+    # an anchor with one distinct context occurs twice or more inside equal bytes: all its windows repeat
+    load = stored(distinct.groupBy("h").agg(F.count(F.lit(1)).alias("c"), F.sum(F.length("ctx")).alias("size"), F.first("cid").alias("cid")))
+    size = load.filter("c > 1").agg(F.sum("size")).first()[0] or 0
     buckets = max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
-    crowded = distinct.groupBy("h").agg(F.count(F.lit(1)).alias("c")).filter(F.col("c") > heavy).select("h")
-    crowded = stored(crowded)
     schema = "h long, cid long, start array<int>, stop array<int>"
-    usual = distinct.join(crowded, "h", "left_anti").withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
+    alone = load.filter("c = 1").select("h", "cid", F.array(F.lit(0)).alias("start"), F.array((F.col("size") - (length - 1)).cast("int")).alias("stop"))
+    crowded = load.filter(F.col("c") > heavy).select("h")
+    usual = distinct.join(load.filter((F.col("c") > 1) & (F.col("c") <= heavy)).select("h"), "h").withColumn("bucket", F.pmod(F.xxhash64("h"), F.lit(buckets)))
 
     def merge(t: pa.Table) -> pa.Table:
         hits = repeated_windows(t.column("ctx").to_pylist(), np.asarray(t.column("n")), length)
@@ -291,7 +294,7 @@ def _repeats(distinct: DataFrame, length: int, heavy: int) -> DataFrame:
                          "start": pa.array([got[i][0].astype(np.int32) for i in keep], pa.list_(pa.int32())),
                          "stop": pa.array([got[i][1].astype(np.int32) for i in keep], pa.list_(pa.int32()))})
 
-    out = usual.groupBy("bucket").applyInArrow(merge, schema)
+    out = alone.unionByName(usual.groupBy("bucket").applyInArrow(merge, schema))
     if not crowded.take(1):
         return out
 

@@ -22,27 +22,24 @@ import json
 import os
 import re
 import struct
-import sys
 import uuid
 import zlib
-from array import array
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.fs as pafs
-import regex
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import scratch, stored
+from .common import _TABLES, GOLDEN, _power_tables, chunks, mix64, scratch, stored, text_bytes
 
 BLOCK = 1 << 16
 MAGIC = b"BPZ1"
 LEVEL = 3
-#: Pieces of text (between ASCII spaces and line breaks) whose ids a worker remembers (speed only).
+#: Units of text whose ids a worker remembers (speed only).
 MEMO = 500_000
 
 
@@ -181,49 +178,151 @@ class PlaneReader:
 
 # --- tokenizer ---
 
-# No apostrophe (contractions are pieces), no "<" (special tokens begin with it), no U+0130 (in lower case it ends in
-# a mark that goes with the punctuation).
-_SPLIT = regex.compile(r"""((?:(?!\u0130)\p{L})+)([!"#$%&()*+,\-./:;=>?@\[\\\]^_`{|}~]*)""")
+# Bytes by what they can be split at.  Pieces lie between spaces and line breaks (0); inside one, runs of letters and
+# bytes of other characters (1), single digits (2) and runs of punctuation (3) are units of their own.  A piece with a
+# byte of kind 4 is one unit: control characters, an apostrophe (contractions), "<" (special tokens begin with it),
+# and first bytes of blocks with many characters that are no letters (speed only, see ``Tokens``).
+_KIND = np.full(256, 4, np.uint8)
+_KIND[[0x20, 0x0A]] = 0
+_KIND[0x21:0x7F] = 3
+_KIND[ord("a"):ord("z") + 1] = _KIND[ord("A"):ord("Z") + 1] = 1
+_KIND[0x80:] = 1
+_KIND[ord("0"):ord("9") + 1] = 2
+_KIND[[ord("'"), ord("<"), 0xC2, 0xCC, 0xCD, 0xE2, *range(0xF0, 0x100)]] = 4
+_LOW = np.arange(256, dtype=np.uint8)
+_LOW[65:91] += 32
+_WHOLE = np.uint64(0x5851F42D4C957F2D)  # keeps whole pieces apart from units of the same bytes
 
 
 class Tokens:
-    """Ids of texts by the tokenizers library, remembered for each piece between ASCII spaces and line breaks: the
-    tokenizer drops white space and never joins across it, and it splits letters from punctuation.  Letters that end in
-    a mark in its normal form, or are none in its older tables, join the punctuation; pieces with them stay whole."""
+    """Ids of texts by the tokenizers library, remembered for each unit of text.
+
+    The tokenizer drops white space, never joins across it, lower-cases, takes runs of letters, single digits and runs of
+    other characters.  Units are found and named (64-bit hashes) for a whole batch at once; only units not seen before
+    go through the library, the ids of all are gathered by offsets.  A character that is not plainly a letter in the
+    tokenizer's own tables and normal form (asked once for each) makes its whole piece a unit."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tok = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {"": b""}
-        self.apart: dict[str, bool] = {}
-
-    def _splits(self, letters: str) -> bool:
-        """Whether the tokenizer parts every one of the letters from punctuation after it (asked once per letter)."""
-        for c in set(letters).difference(self.apart):
-            text = self.tok.normalizer.normalize_str(c) + "."
-            self.apart[c] = [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(text)][1:] == ["."]
-        return all(map(self.apart.__getitem__, letters))
+        self.plain: dict[str, bool] = {}
+        self._reset()
+
+    def _reset(self) -> None:
+        self.slot: dict[int, int] = {}  # hash of a unit -> its slot; -1: not a unit, its piece is
+        self.pool, self.used = np.zeros(1 << 16, np.uint32), 0
+        self.first, self.count, self.hits = (np.zeros(1 << 16, np.int64) for _ in range(3))
+        self.n = 0
+
+    def _letters(self, text: str) -> bool:
+        """Whether the tokenizer takes every character as a letter, apart from punctuation on either side."""
+        for c in set(text).difference(self.plain):
+            near = self.tok.normalizer.normalize_str(f".{c}.")
+            got = [p for p, _ in self.tok.pre_tokenizer.pre_tokenize_str(near)]
+            self.plain[c] = len(got) == 3 and got[0] == got[2] == "."
+        return all(map(self.plain.__getitem__, text))
+
+    def _remember(self, keys: list[int], units: list[str]) -> None:
+        for lo in range(0, len(units), 4096):
+            part = self.tok.encode_batch_fast(units[lo:lo + 4096], add_special_tokens=False)
+            ids = [e.ids for e in part]
+            sizes = np.fromiter(map(len, ids), np.int64, len(ids))
+            flat = np.fromiter((i for e in ids for i in e), np.uint32, int(sizes.sum()))
+            while self.used + len(flat) > len(self.pool):
+                self.pool = np.concatenate([self.pool, np.zeros_like(self.pool)])
+            while self.n + len(ids) > len(self.first):
+                self.first, self.count, self.hits = (np.concatenate([v, np.zeros_like(v)]) for v in (self.first, self.count, self.hits))
+            self.pool[self.used:self.used + len(flat)] = flat
+            at = slice(self.n, self.n + len(ids))
+            self.first[at], self.count[at], self.hits[at] = self.used + np.cumsum(sizes) - sizes, sizes, 0
+            self.slot.update(zip(keys[lo:lo + 4096], range(self.n, self.n + len(ids))))
+            self.used += len(flat)
+            self.n += len(ids)
+
+    def _forget(self) -> None:
+        """Keep the half of the memory that most batches used."""
+        keep = np.sort(np.argsort(-self.hits[:self.n], kind="stable")[:MEMO // 2])
+        new = np.full(self.n, -2)
+        new[keep] = np.arange(len(keep))
+        ids = [self.pool[a:a + c] for a, c in zip(self.first[keep].tolist(), self.count[keep].tolist())]
+        old = self.slot
+        hits, count = self.hits[keep] // 2, self.count[keep]
+        self._reset()
+        self.slot = {k: int(new[v]) for k, v in old.items() if v >= 0 and new[v] >= 0}
+        size = 1 << max(16, len(keep).bit_length())
+        self.first, self.count, self.hits = (np.zeros(size, np.int64) for _ in range(3))
+        self.n, self.pool = len(keep), np.concatenate([*ids, np.zeros(1 << 16, np.uint32)])
+        self.used = int(count.sum())
+        self.first[:self.n], self.count[:self.n], self.hits[:self.n] = np.cumsum(count) - count, count, hits
 
     def batch(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [t.replace("\n", " ").split(" ") if t else [] for t in texts]
-        if len(self.memo) > MEMO:
-            self.memo = {"": b""}
-        new = set().union(*pieces).difference(self.memo)
-        # Letters and ASCII punctuation after them are pieces of their own, and ASCII letters count in lower case.
-        split = [(p, (m[1].lower() if p.isascii() else m[1], m[2])) for p in new if (m := _SPLIT.fullmatch(p)) and (p.isascii() or self._splits(m[1]))]
-        parts = {x for _, two in split for x in two}
-        for p in new.difference(p for p, _ in split):
-            parts.add(p)
-        todo = list(parts.difference(self.memo))
-        for lo in range(0, len(todo), 4096):
-            part = todo[lo:lo + 4096]
-            for p, e in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False)):
-                self.memo[p] = array("I", e.ids).tobytes() if sys.byteorder == "little" else np.array(e.ids, "<u4").tobytes()
-        for p, (a, b) in split:
-            self.memo[p] = self.memo[a] + self.memo[b]
-        get = self.memo.__getitem__
-        return [b"".join(map(get, p)) for p in pieces]
+        return self.encode(pa.array(texts, pa.string()))
+
+    def encode(self, texts: pa.Array) -> list[bytes]:
+        """Ids of each text as little-endian 32-bit integers."""
+        data, off = text_bytes(texts)
+        n = len(data)
+        if n == 0:
+            return [b""] * (len(off) - 1)
+        if len(self.slot) > MEMO:
+            self._forget()
+        kind = _KIND[data]
+        inner = kind > 0
+        begins = np.zeros(n + 1, bool)
+        begins[off] = True  # a text begins, or the last has ended
+        before = np.concatenate([[False], inner[:-1]])
+        after = np.concatenate([inner[1:], [False]])
+        start, end = np.flatnonzero(inner & (~before | begins[:n])), np.flatnonzero(inner & (~after | begins[1:])) + 1
+        odd = np.concatenate([[0], np.cumsum(kind == 4, dtype=np.int32)])
+        whole = odd[end] > odd[start]
+        while True:
+            step = np.zeros(n + 1, np.int8)
+            step[start[whole]] += 1
+            step[end[whole]] -= 1
+            inside = np.cumsum(step[:n], dtype=np.int8).view(bool)
+            opens = inner & ~inside
+            opens[1:] &= (kind[1:] != kind[:-1]) | (kind[1:] == 2)
+            opens[start] = True
+            a = np.flatnonzero(opens)
+            piece = np.searchsorted(start, a, "right") - 1
+            z = np.minimum(np.append(a[1:], n), end[piece])
+            byte = np.where(inside, data, _LOW[data])
+            up, down = _power_tables(n)
+            total = np.empty(n + 1, np.uint64)
+            total[0] = 0
+            np.cumsum(_TABLES[False][byte] * up[:n], out=total[1:])
+            h = mix64((total[z] - total[a]) * down[a] + (z - a).astype(np.uint64) * GOLDEN)
+            h[whole[piece]] ^= _WHOLE
+            names, index, inverse = np.unique(h, return_index=True, return_inverse=True)
+            keys = names.tolist()
+            slots = list(map(self.slot.get, keys))
+            new = [i for i, v in enumerate(slots) if v is None]
+            if new:
+                at = index[new]
+                raw = byte.tobytes()
+                texts_ = [raw[x:y].decode() for x, y in zip(a[at].tolist(), z[at].tolist())]
+                kept, units = [], []
+                for i, t, w in zip(new, texts_, whole[piece[at]].tolist()):
+                    if w or t.isascii() or self._letters(t):
+                        kept.append(keys[i])
+                        units.append(t)
+                    else:
+                        self.slot[keys[i]] = -1
+                self._remember(kept, units)
+                for i in new:
+                    slots[i] = self.slot[keys[i]]
+            slots = np.array(slots, np.int64)
+            bad = slots < 0
+            if not bad.any():
+                break
+            whole[piece[bad[inverse]]] = True  # at most once: whole pieces are always units
+        self.hits[slots] += 1
+        count = self.count[slots][inverse]
+        ends = np.cumsum(count)
+        ids = self.pool[np.repeat(self.first[slots][inverse] - (ends - count), count) + np.arange(ends[-1] if len(ends) else 0)].astype("<u4")
+        cut = np.concatenate([[0], ends])[np.searchsorted(a, off)]
+        return [ids[x:y].tobytes() for x, y in zip(cut[:-1].tolist(), cut[1:].tolist())]
 
 
 @lru_cache(maxsize=2)
@@ -243,12 +342,11 @@ def write_token_files(docs: DataFrame, tokenizer: str, end_id: int, folder: str,
         pid, w, path = TaskContext.get().partitionId(), None, ""
         enc = tokens(tokenizer)
         for b in batches:
-            for lo in range(0, b.num_rows, 256):
-                part = b.slice(lo, 256)
+            for part in chunks(b, "text"):
                 if w is None:
                     path = f"{folder}/ids-{pid:06d}-{uuid.uuid4().hex}.bpz"
                     w = PlaneWriter(path, bits)
-                for d, ids in zip(part.column(0).to_pylist(), enc.batch(part.column(1).to_pylist())):
+                for d, ids in zip(part.column(0).to_pylist(), enc.encode(part.column(1))):
                     w.add(d, ids + end)
         if w is not None:
             w.close()
