@@ -17,7 +17,7 @@ A byte is removed when a string of ``LENGTH`` bytes that covers it starts at ano
    ``LENGTH / GRAM`` rounds the undivided intervals are the strings of ``LENGTH`` bytes.  An interval of total
    multiplicity two or more repeats.  A second hash over whole windows guards against colliding symbol names.
 
-An anchor with one distinct context needs no merge: its windows occur as often as the context.  An anchor with more than ``HEAVY`` different contexts would outgrow a bucket; its windows are counted one by one by a
+An anchor with one distinct context needs no merge: its windows occur as often as the context.  An anchor with more than ``HEAVY`` different contexts would fill a bucket alone; its windows are counted one by one by a
 128-bit hash over all tasks instead, which gives the same answer.
 
 Defined results: null text counts as empty; texts shorter than ``LENGTH`` lose nothing; rows are judged one by one,
@@ -43,7 +43,7 @@ GRAM = 50
 BUCKET_BYTES = 512 << 10   # contexts of a bucket, on average
 SHARD_BYTES = 128 << 10    # contexts of a shard
 MIN_BUCKETS = 256
-HEAVY = 20_000
+HEAVY = 1_000              # contexts of one anchor that fill a bucket alone (672 bytes each at most)
 _NONE = ~np.uint64(0)
 
 
@@ -127,11 +127,15 @@ class Contexts:
         self.begin = np.concatenate([[0], np.cumsum(self.size)])
         self.many = self.size - gram + 1                      # symbols of a context
         self.first = np.concatenate([[0], np.cumsum(self.many)])
-        self.owner = np.repeat(np.arange(len(texts)), self.many)
-        self.at = np.arange(self.first[-1]) - self.first[self.owner]  # place in the context
-        byte = self.begin[self.owner] + self.at
-        _, name = np.unique(_gram_hashes(self.data, gram)[byte], return_inverse=True)
-        self.name = (name + 1).astype(np.int64)               # 0 ends a text
+        if self.begin[-1] >= 1 << 31:
+            raise ValueError("too many bytes for one bucket")
+        self.owner = np.repeat(np.arange(len(texts), dtype=np.int32), self.many)
+        self.at = (np.arange(self.first[-1]) - np.repeat(self.first[:-1], self.many)).astype(np.int32)  # place in the context
+        hashes = _gram_hashes(self.data, gram)[np.repeat(self.begin[:-1], self.many) + self.at]
+        order = np.argsort(hashes)
+        hashes = hashes[order]
+        self.name = np.empty(len(order), np.int32)            # from 1; 0 ends a text
+        self.name[order] = np.cumsum(np.concatenate([[True], hashes[1:] != hashes[:-1]])[:len(order)], dtype=np.int32)
 
     def shard(self, lo: int, hi: int) -> tuple[np.ndarray, np.ndarray]:
         """Transform of contexts lo to hi - 1: the symbols in front of the suffixes in suffix order, and the place of
@@ -140,18 +144,20 @@ class Contexts:
         name, at, left = self.name[a:b], self.at[a:b], (self.many[self.owner[a:b]] - self.at[a:b])
         rank, step, n = name, self.gram, 1
         while n < self.rounds:  # suffixes by 2, 4, 8 ... symbols
-            after = np.zeros(len(rank), np.int64)
+            pair = rank.astype(np.int64) * (int(rank.max(initial=0)) + 1)
             has = np.flatnonzero(left > step)
-            after[has] = rank[has + step]
-            _, rank = np.unique(rank * (int(rank.max(initial=0)) + 1 if not len(after) else int(max(rank.max(), after.max())) + 1) + after, return_inverse=True)
-            rank = rank + 1
+            pair[has] += rank[has + step]
+            order = np.argsort(pair)
+            pair = pair[order]
+            rank = np.empty(len(order), np.int32)
+            rank[order] = np.cumsum(np.concatenate([[True], pair[1:] != pair[:-1]])[:len(order)], dtype=np.int32)
             step, n = 2 * step, 2 * n
         order = np.argsort(rank, kind="stable")
-        front = np.zeros(len(name), np.int64)
+        front = np.zeros(len(name), np.int32)
         inner = np.flatnonzero(at >= self.gram)
         front[inner] = name[inner - self.gram]
         ends = np.flatnonzero(left <= self.gram)              # last symbol of every text
-        return np.concatenate([name[ends], front[order]]), np.concatenate([np.full(len(ends), -1), a + order])
+        return np.concatenate([name[ends], front[order]]), np.concatenate([np.full(len(ends), -1), a + order]).astype(np.int32)
 
 
 def _stable_order(x: np.ndarray) -> np.ndarray:
@@ -169,9 +175,9 @@ def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], rounds: int) -
     place = np.concatenate([s[1] for s in shards])
     z = np.repeat(np.arange(len(shards), dtype=np.uint16), [len(s[0]) for s in shards])  # the interleave
     n = len(z)
-    block = np.zeros(n, np.int64)
+    block = np.zeros(n, np.int32)
     lcp = np.full(n, rounds, np.int16)
-    nth = np.arange(n)  # of each merged suffix, its index in the shards' own order
+    nth = np.arange(n, dtype=np.int32)  # of each merged suffix, its index in the shards' own order
     for k in range(rounds):
         symbol = front[nth]
         order = _stable_order(symbol)
@@ -179,8 +185,8 @@ def merge_transforms(shards: list[tuple[np.ndarray, np.ndarray]], rounds: int) -
         parts = np.ones(n, bool)
         parts[1:] = (symbol[1:] != symbol[:-1]) | (old[1:] != old[:-1])
         lcp[parts & (lcp == rounds)] = k
-        block = np.cumsum(parts) - 1
-        nth[np.argsort(z, kind="stable")] = np.arange(n)
+        block = np.cumsum(parts, dtype=np.int32) - 1
+        nth[np.argsort(z, kind="stable")] = np.arange(n, dtype=np.int32)
     return place[nth], lcp
 
 
