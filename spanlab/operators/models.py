@@ -419,19 +419,25 @@ class RFFModel:
         return self.linear.setPredictionCol(out).transform(self.features(df)).select(key, out)
 
 
-def fit_rff_regression(train: DataFrame, label: str, gamma: float = 0.1, n_components: int = 200,
-                       reg: float = 0.01, seed: int = 0, numeric: Sequence[str] = NUMERIC,
-                       categorical: Sequence[str] = CATEGORICAL) -> RFFModel:
+def fit_rff_features(data: DataFrame, gamma: float, n_components: int, seed: int, numeric: Sequence[str] = NUMERIC,
+                     categorical: Sequence[str] = CATEGORICAL) -> RFFModel:
     """cos(Wx+b) features (W ~ N(0, 2γ), b ~ U[0, 2π), seeded, broadcast with the
-    closure: n_components × n_features doubles) + ridge regression."""
-    data = cast_numeric(train, numeric)
+    closure: n_components × n_features doubles); no regression on them yet."""
+    data = cast_numeric(data, numeric)
     prep = Pipeline(stages=preprocessing(numeric, categorical, scaler="standard")).fit(data)
     dim = len(feature_names(prep.transform(data.limit(1))))
     rng = np.random.default_rng(seed)
     W = rng.normal(0.0, math.sqrt(2.0 * gamma), size=(n_components, dim))
     b = rng.uniform(0.0, 2 * math.pi, size=n_components)
-    model = RFFModel(prep, W.tolist(), b.tolist(), None, tuple(numeric))
-    feats = model.features(data).select("rff", F.col(label).cast("double").alias("y"))
+    return RFFModel(prep, W.tolist(), b.tolist(), None, tuple(numeric))
+
+
+def fit_rff_regression(train: DataFrame, label: str, gamma: float = 0.1, n_components: int = 200,
+                       reg: float = 0.01, seed: int = 0, numeric: Sequence[str] = NUMERIC,
+                       categorical: Sequence[str] = CATEGORICAL) -> RFFModel:
+    """Random Fourier features + ridge regression."""
+    model = fit_rff_features(train, gamma, n_components, seed, numeric, categorical)
+    feats = model.features(train).select("rff", F.col(label).cast("double").alias("y"))
     model.linear = LinearRegression(featuresCol="rff", labelCol="y", regParam=reg, elasticNetParam=0.0).fit(feats)
     return model
 

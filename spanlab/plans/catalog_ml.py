@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..operators import boosting as B
 from ..operators import encode, evaluate, impute
+from ..operators import linear as LN
 from ..operators import models as M
 from ..operators import trees as G
 from ..operators import tune as T
@@ -157,7 +158,7 @@ def q_permutation_importance(spark, sf):
 @register("coef_path")
 def q_coef_path(spark, sf):
     tr, _ = _split(spark, sf)
-    return M.coefficient_path(tr, "max_price", [10 ** (3 - 4 * i / 99) for i in range(100)], alpha=1.0)
+    return LN.elastic_net_path(tr, "max_price", [10 ** (3 - 4 * i / 99) for i in range(100)], alpha=1.0)
 
 
 @register("ols_summary")

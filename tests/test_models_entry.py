@@ -86,7 +86,7 @@ def test_keys_ask_for_the_whole_job(spark, monkeypatch):
         got = asked(key, name)
         assert (len(got["configs"]), got["k"]) == (n, 5), key
     assert asked("stacking", "fit_stacking")["k"] == 5
-    assert len(asked("coef_path", "coefficient_path", ML.M)["lambdas"]) == 100
+    assert len(asked("coef_path", "elastic_net_path", ML.LN)["lambdas"]) == 100
     got = asked("learning_curve", "forest_learning_curve")
     assert (len(got["sizes"]), got["splits"], got["test"]) == (5, 50, 0.2)
     assert len(asked("model_comparison_runs", "model_comparison")["seeds"]) == 5
