@@ -257,7 +257,7 @@ def digest(found: DataFrame) -> DataFrame:
         return F.size(F.filter(F.col("base"), lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     counts = [count(k) for k in STRICT]
-    return found.withColumn("base", base).select("doc_id", *counts, F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
+    return found.withColumn("base", base).select("doc_id", *counts, F.size("spans").cast("long").alias("n_spans"), F.sha2(listed(F.col("base")), 256).alias("base_sha256"), listed(F.col("spans")).alias("spans"))
 
 
 def query(spark, sf_dir):
