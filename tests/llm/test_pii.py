@@ -55,6 +55,7 @@ def test_weak_labels_add_and_plan_has_no_python(spark, make):
     assert all(got[k].n_email == 1 and got[k].n_phone == 1 for k in range(40))
     assert all("secret:" in got[100 + k].spans for k in range(30))
     assert all(got[200 + k].spans == "" for k in range(30))
+    assert all(r.n_spans == len([x for x in r.spans.split(",") if x]) for r in got.values())
     red = {r.doc_id: r.text for r in pii.redacted(df).collect()}
     assert red[3].startswith("some words write to mail [email] or call tel [phone]")
 
