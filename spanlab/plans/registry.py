@@ -7,7 +7,7 @@ import importlib
 from pyspark.sql import SparkSession
 
 _MODULES = ["spanlab.plans.catalog", "spanlab.plans.catalog_more", "spanlab.plans.catalog_ml",
-            "spanlab.plans.catalog_text"]
+            "spanlab.plans.catalog_text", "spanlab.plans.catalog_recipe"]
 
 
 def _load():
