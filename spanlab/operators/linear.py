@@ -164,13 +164,25 @@ class SVRModel:
         return rows.mapInArrow(run, f"`{key}` {kind}, `{out}` double")
 
 
+def _inverse(a: np.ndarray) -> np.ndarray:
+    """Inverse of a positive definite matrix by sweeps of plain array operations.  (The threaded LAPACK call was seen
+    to stall in the driver process from about 100 columns on.)"""
+    a = a.copy()
+    for k in range(len(a)):
+        row, col, p = a[k] / a[k, k], a[:, k].copy(), a[k, k]
+        a -= col[:, None] * row
+        a[k], a[:, k] = row, -col / p
+        a[k, k] = 1.0 / p
+    return a
+
+
 def solve_svr(rows: DataFrame, d: int, cost: float, eps: float, rho: float = 1.0, iterations: int = 100, tol: float = 1e-4) -> tuple[np.ndarray, list]:
     """Minimise |beta|² / 2 + cost Σ max(0, |y - x·beta| - eps) over rows (x, y): ADMM, one job an iteration.  Ends when
     primal and dual residuals are below ``tol`` of their scale; returns the coefficients and (loss, primal, dual) by
     iteration."""
     m = _moments(rows.withColumn("g", F.lit(0)), d, 1)[0]
     n = m[0, 0]
-    solve = np.linalg.inv(np.eye(d) / rho + m[1:-1, 1:-1])
+    solve = _inverse(np.eye(d) / rho + m[1:-1, 1:-1])
     betas, history, before = np.zeros((0, d)), [], np.zeros(d)
     for _ in range(iterations if n else 0):
         now = betas
@@ -185,12 +197,14 @@ def solve_svr(rows: DataFrame, d: int, cost: float, eps: float, rho: float = 1.0
                     loss += cost * np.maximum(np.abs(y - p) - eps, 0.0).sum()
                     primal += ((r - p) ** 2).sum()
                     norm += (r ** 2).sum()
-            yield pa.RecordBatch.from_arrays([pa.array([np.append(xr, [loss, primal, norm]).tobytes()], pa.binary())], names=["m"])
-
-        def add(t: pa.Table) -> pa.Table:
-            return pa.table({"m": pa.array([sum(np.frombuffer(v.as_py()) for v in t.column("m")).tobytes()], pa.binary())})
-        parts = rows.select("x", "y").mapInArrow(run, "m binary").withColumn("t", F.pmod(F.spark_partition_id(), F.lit(64)))
-        sums = sum(np.frombuffer(v["m"]) for v in parts.groupBy("t").applyInArrow(add, "m binary").collect())  # at most 64 rows
+            out = np.append(xr, [loss, primal, norm])
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(out))), pa.array(out)], names=["i", "v"])
+
+        # d + 3 rows a task, summed by place in Spark
+        got = rows.select("x", "y").mapInArrow(run, "i long, v double").groupBy("i").agg(F.sum("v").alias("v")).collect()
+        sums = np.zeros(d + 3)
+        for r in got:
+            sums[r["i"]] = r["v"]
         new, got = solve @ sums[:d], dict(zip("lpn", sums[d:].tolist()))
         if len(betas):
             last = betas[-1]

@@ -186,6 +186,13 @@ def q_rff_regression(spark, sf):
     return M.fit_rff_regression(tr, "max_price", gamma=0.05, n_components=100).transform(te)
 
 
+@register("svr_regression")
+def q_svr_regression(spark, sf):
+    """Epsilon-insensitive regression with an RBF kernel (random Fourier features) on the training rows, scored on the others."""
+    tr, te = _split(spark, sf)
+    return LN.fit_svr(tr, "max_price").transform(te)
+
+
 @register("stacking")
 def q_stacking(spark, sf):
     tr, te = _split(spark, sf)
@@ -292,6 +299,25 @@ def q_formula_frame(spark, sf):
     return rf.transform(df).select("id", "label", F.size(vector_to_array("features")).alias("n_slots"))
 
 
+@register("formula_terms", """
+, lv AS (SELECT cpu, concat('cpu_', cpu) AS term FROM listing WHERE cpu IS NOT NULL GROUP BY cpu)
+SELECT id, 'screen_size' AS term, screen_size AS value FROM listing WHERE screen_size <> 0
+UNION ALL SELECT id, 'ram', CAST(ram AS DOUBLE) FROM listing WHERE ram <> 0
+UNION ALL SELECT id, 'touchscreen', CAST(touchscreen AS DOUBLE) FROM listing WHERE touchscreen <> 0
+UNION ALL SELECT l.id, lv.term, 1.0E0 FROM listing l JOIN lv ON l.cpu = lv.cpu
+UNION ALL SELECT id, '(label)', max_price FROM listing""")
+def q_formula_terms(spark, sf):
+    """The model frame of the formula by value: (id, term, value) of all that is not zero, the label among them."""
+    from pyspark.ml.functions import vector_to_array
+
+    df = L(spark, sf).select("id", "max_price", "screen_size", "ram", "cpu", "touchscreen")
+    out = encode.formula("max_price ~ . - id", features="features", label="label").fit(df).transform(df)
+    names = F.array(*[F.lit(n) for n in M.feature_names(out)])
+    long = out.select("id", F.posexplode(vector_to_array("features")).alias("i", "value")).filter("value <> 0")
+    return (long.select("id", F.get(names, "i").alias("term"), "value")
+            .unionByName(out.select("id", F.lit("(label)").alias("term"), F.col("label").cast("double").alias("value"))))
+
+
 @register("recipe_bake")
 def q_recipe_bake(spark, sf):
     """Fit the R-style recipe on train (log y → standardise; median impute;

@@ -55,6 +55,16 @@ def q_dummies_drop_first(spark, sf):
     return encode.dummies_drop_first(df.select("id", *DUMMY_COLS), levels)
 
 
+@register("dummies_long", "SELECT l.id, concat('DM_', lv.col_name, '_', lv.level) AS dummy, CASE WHEN "
+          + " OR ".join(f"(lv.col_name = '{c}' AND l.{c} = lv.level)" for c in DUMMY_COLS) + " THEN 1 ELSE 0 END AS value "
+          "FROM listing l CROSS JOIN lv WHERE lv.slot > 0", ctes={**TRAIN, "lv": _levels_sql(DUMMY_COLS)})
+def q_dummies_long(spark, sf):
+    """The dummy columns by value: (id, dummy, value), the first level of a column left out."""
+    df = L(spark, sf)
+    wide = encode.dummies_drop_first(df.select("id", *DUMMY_COLS), encode.fit_levels(_train(df), DUMMY_COLS))
+    return wide.unpivot(["id"], [f"`{c}`" for c in wide.columns if c != "id"], "dummy", "value")
+
+
 @register("novel_unknown", """
 , lv AS (SELECT DISTINCT os FROM train WHERE os IS NOT NULL AND os <> 'Chrome OS')
 SELECT id, CASE WHEN os IS NULL THEN 'unknown' WHEN os NOT IN (SELECT os FROM lv) THEN 'new' ELSE os END AS os

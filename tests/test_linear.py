@@ -93,3 +93,10 @@ def test_svr_learns_and_survives_no_rows(data):
     assert got[0] < 0.35 * got[1]
     beta, history = LN.solve_svr(data.limit(0).select(F.array("a").alias("x"), "y"), 1, 1.0, 0.1)
     assert beta.tolist() == [0.0] and history == []
+
+
+def test_inverse_by_sweeps():
+    rng = np.random.default_rng(2)
+    x = rng.normal(size=(200, 120))
+    a = x.T @ x + np.eye(120)
+    assert np.allclose(LN._inverse(a) @ a, np.eye(120), atol=1e-9)
