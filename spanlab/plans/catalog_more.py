@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions.ranking import value_ranks
 from ..operators import encode, evaluate, profile, relate, sample, scale
+from ..session import cut_lineage
 from ..sources import fixtures as fx
 from . import sqltext as S
 from .catalog import LISTING, L, _train, _train_cte, register
@@ -364,7 +365,8 @@ _BAND_SQL = [("gt2000", "max_price > 2000"), ("b2200_2400", "max_price >= 2200 A
 
 @register("union_all_bands", " UNION ALL ".join(f"SELECT id, '{b}' AS band FROM listing WHERE {w}" for b, w in _BAND_SQL))
 def q_union_all_bands(spark, sf):
-    df = L(spark, sf).select("id", "max_price")
+    # the view once: bands that each join it anew would share its partitions, and a task would read all five of a partition
+    df = cut_lineage(L(spark, sf).select("id", "max_price"))
     return relate.union_all(*[df.filter(w).select("id", F.lit(b).alias("band")) for b, w in _BAND_SQL])
 
 
