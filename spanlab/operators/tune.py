@@ -270,7 +270,9 @@ def oof_predictions(df: DataFrame, kind: str, params: dict, label: str = "max_pr
                     name: str | None = None) -> DataFrame:
     """Held-out predictions of every row (T6): each row is predicted by the model
     of the one fold that did not see it.  Long form (id, fold, base, truth, pred)."""
-    fd = folds if folds is not None else with_folds(df, k, key, shuffle=True, seed=seed)
+    fd = folds
+    if fd is None:  # stored once: every fold's fit and prediction would make the rows and their folds anew
+        df = fd = cut_lineage(with_folds(df, k, key, shuffle=True, seed=seed))
     parts = []
     for f in range(k):
         tr, va = fd.filter(F.col("fold") != f), fd.filter(F.col("fold") == f)
