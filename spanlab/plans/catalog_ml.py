@@ -19,6 +19,7 @@ from ..operators import linear as LN
 from ..operators import models as M
 from ..operators import trees as G
 from ..operators import tune as T
+from ..session import cut_lineage
 from ..sources import io
 from .catalog import L, _train, register
 
@@ -570,7 +571,8 @@ def q_crossvalidator_interval(spark, sf):
 
     from ..operators.sample import with_folds
 
-    df = M.cast_numeric(with_folds(L(spark, sf), 3, "id", shuffle=True, seed=0))
+    # stored once: every fold's training and held-out part and the last fit would make the listing anew
+    df = cut_lineage(M.cast_numeric(with_folds(L(spark, sf), 3, "id", shuffle=True, seed=0)))
     tree = DecisionTreeRegressor(labelCol="max_price", seed=1)
     pipe = Pipeline(stages=M.preprocessing() + [tree])
     grid = ParamGridBuilder().addGrid(tree.maxDepth, [2, 4, 6]).build()

@@ -101,3 +101,25 @@ def test_learning_curve_over_splits(spark):
     rows = tune.learning_curve(L(spark, "/root/testdata/sf0.001"), "tree", {"maxDepth": 2}, sizes=(1.0,), splits=2).collect()
     n = L(spark, "/root/testdata/sf0.001").count()
     assert [r.fold for r in rows] == [0, 1] and all(r.n_train == n - -(-n // 5) for r in rows)
+
+
+def test_crossvalidator_key_makes_the_listing_once(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from spanlab.operators import models as M
+    from spanlab.plans import catalog_ml as CM
+    from spanlab.plans import registry
+
+    made = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            made.add(b.num_rows)
+            yield b
+
+    df = spark.range(60).select("id", (F.col("id") * 3.0 + 5).alias("max_price"), *[((F.col("id") * (i + 2)) % 7).cast("double").alias(c) for i, c in enumerate(M.NUMERIC)],
+                                *[F.concat(F.lit("l"), F.col("id") % (i + 2)).alias(c) for i, c in enumerate(M.CATEGORICAL)])
+    df = df.mapInArrow(counted, df.schema)
+    monkeypatch.setattr(CM, "L", lambda spark, sf: df)
+    assert registry.queries()["crossvalidator_interval"](spark, "").count() == 3
+    assert 60 <= made.value <= 180  # once, and for the ranks of the folds; not for each fold, depth and fit
