@@ -28,6 +28,7 @@ from ..session import cut_lineage
 from . import boosting as B
 from . import models as M
 from . import trees as G
+from .impact import _spread
 from .sample import with_folds
 
 MEAN_METRIC = "mae"
@@ -378,10 +379,8 @@ def fit_stacking(df: DataFrame, bases: dict[str, tuple[str, dict]], label: str =
 # ---------------------------------------------------------------------------
 # Permutation importance (K9)
 # ---------------------------------------------------------------------------
-def _permute(base: DataFrame, ranked: DataFrame, col: str, key: str, n: int, repeats: int, seed: str) -> DataFrame:
-    """Permutation of one column over all rows in every repeat: rows have a random
-    rank; the row of rank r takes the value of rank (a r + b) mod n, with a and b
-    drawn for each repeat and a prime to n."""
+def _draws(n: int, repeats: int, seed: str) -> list[tuple[int, int]]:
+    """(a, b) of each repeat, a prime to n: the row of rank r takes the value of rank (a r + b) mod n."""
     rng = random.Random(seed)
     draws = []
     for _ in range(repeats):
@@ -389,26 +388,36 @@ def _permute(base: DataFrame, ranked: DataFrame, col: str, key: str, n: int, rep
         while math.gcd(a, n) != 1:
             a = rng.randrange(1, 1 << 20)
         draws.append((a, rng.randrange(n)))
-    a, b = (F.array(*[F.lit(d[i]).cast("long") for d in draws])[F.col("rep")] for i in (0, 1))
-    donors = ranked.select(F.col("__rank").alias("__from"), F.col(col).alias("__v"))
-    return (base.drop(col).withColumn("__from", F.pmod(a * F.col("__rank") + b, F.lit(n))).join(donors, "__from")
-            .withColumnRenamed("__v", col).drop("__from"))
+    return draws
+
+
+def _permuted(ranked: DataFrame, features: Sequence[str], n: int, repeats: int, seed: int) -> DataFrame:
+    """Every row of ``ranked`` (__rank) once for each feature and repeat (feature, rep), the feature's value taken from
+    another row.  Only the values move: each goes to the rank that takes it, so a row is joined once."""
+    slots = {t: f"__v{i}" for i, t in enumerate(dict.fromkeys(ranked.schema[c].dataType for c in features))}
+    sent = []
+    for i, c in enumerate(features):
+        for rep, (a, b) in enumerate(_draws(n, repeats, f"{seed}:{c}")):
+            to = F.pmod((F.col("__rank") - F.lit(b)) * F.lit(pow(a, -1, n)), F.lit(n)).cast("long")
+            sent.append(F.struct(to.alias("__rank"), F.lit(i).alias("__f"), F.lit(rep).alias("rep"), *[
+                (F.col(c) if t == ranked.schema[c].dataType else F.lit(None).cast(t)).alias(v) for t, v in slots.items()]))
+    moved = ranked.select(F.explode(F.array(*sent)).alias("s")).select("s.*")
+    out = ranked.join(moved, "__rank").withColumns({c: F.when(F.col("__f") == i, F.col(slots[ranked.schema[c].dataType])).otherwise(F.col(c))
+                                                    for i, c in enumerate(features)})
+    return out.withColumn("feature", F.array(*[F.lit(c) for c in features])[F.col("__f")]).drop("__f", *slots.values())
 
 
 def permutation_importance(model: M.IntervalModel, df: DataFrame, features: Sequence[str], repeats: int = 10,
                            seed: int = 1, key: str = "id") -> DataFrame:
     """Drop in R² per (feature, label) over ``repeats`` permutations: mean, sd and
     quartiles.  All permuted copies are scored by one ``transform`` and one
-    grouped aggregate."""
+    grouped aggregate; the rows as they are, once."""
     n = max(1, df.count())
-    ranked = cut_lineage(hash_ranked(df, key, seed, "__rank").withColumn("__rank", F.col("__rank") - 1))
-    base = ranked.withColumn("rep", F.explode(F.sequence(F.lit(0), F.lit(repeats - 1))))
-    copies = [base.withColumn("feature", F.lit("__none__"))]
-    for c in features:
-        copies.append(_permute(base, ranked, c, key, n, repeats, f"{seed}:{c}").withColumn("feature", F.lit(c)))
-    allc = copies[0]
-    for c in copies[1:]:
-        allc = allc.unionByName(c)
+    # dealt by rank to all tasks: few bytes are many rows to score
+    ranked = cut_lineage(_spread(hash_ranked(df, key, seed, "__rank").withColumn("__rank", F.col("__rank") - 1), "__rank"))
+    allc = ranked.withColumn("rep", F.lit(0)).withColumn("feature", F.lit("__none__"))
+    if features:
+        allc = allc.unionByName(_permuted(ranked, features, n, repeats, seed))
     scored = model.transform(allc, key=key, keep=["rep", "feature", *model.labels])
     long = scored.select("feature", "rep", F.explode(F.array(*[
         F.struct(F.lit(lab).alias("label"), F.col(lab).cast("double").alias("y"),
@@ -417,8 +426,8 @@ def permutation_importance(model: M.IntervalModel, df: DataFrame, features: Sequ
     r2 = long.groupBy("feature", "rep", "label").agg(
         (F.lit(1.0) - F.sum(F.pow(F.col("y") - F.col("p"), 2)) /
          (F.sum(F.col("y") * F.col("y")) - F.pow(F.sum("y"), 2) / F.count(F.lit(1)))).alias("r2"))
-    ref = r2.filter(F.col("feature") == "__none__").select("rep", "label", F.col("r2").alias("r2_ref"))
-    drops = r2.filter(F.col("feature") != "__none__").join(ref, ["rep", "label"]).withColumn(
+    ref = r2.filter(F.col("feature") == "__none__").select("label", F.col("r2").alias("r2_ref"))
+    drops = r2.filter(F.col("feature") != "__none__").join(ref, "label").withColumn(
         "drop", F.col("r2_ref") - F.col("r2"))
     return drops.groupBy("feature", "label").agg(
         F.avg("drop").alias("importance_mean"), F.stddev_pop("drop").alias("importance_std"),

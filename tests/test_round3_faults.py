@@ -83,3 +83,34 @@ def test_oof_predictions_store_the_folds(spark):
     got = out.collect()
     assert sorted(r["id"] for r in got) == list(range(120)) and {r["fold"] for r in got} == set(range(4))
     assert all(r["truth"] == r["id"] * 3.0 for r in got)
+
+
+def test_permuted_rows_send_values_not_rows(spark):
+    """Each copy has one column permuted by its draw; the rows as they are come once, not once a repeat."""
+    from spanlab.operators import tune
+
+    n, repeats = 50, 4
+    df = spark.range(n).select("id", F.col("id").cast("double").alias("a"), F.concat(F.lit("s"), "id").alias("g"), (F.col("id") * 3.0).alias("y"))
+    df = df.withColumn("a", F.when(F.col("id") != 7, F.col("a")))
+    ranked = df.withColumn("__rank", F.col("id"))
+    got = tune._permuted(ranked, ["a", "g"], n, repeats, 1).collect()
+    assert len(got) == 2 * repeats * n
+    for i, c in enumerate(["a", "g"]):
+        for rep, (a, b) in enumerate(tune._draws(n, repeats, f"1:{c}")):
+            for r in (r for r in got if r["feature"] == c and r["rep"] == rep):
+                other = (a * r["id"] + b) % n
+                assert r[c] == ((None if other == 7 else float(other)) if c == "a" else f"s{other}")
+                assert r["y"] == 3.0 * r["id"] and r["g" if c == "a" else "a"] == (f"s{r['id']}" if c == "a" else None if r["id"] == 7 else float(r["id"]))
+
+    seen = []
+
+    class Guess:
+        labels = ("y",)
+
+        def transform(self, rows, key, keep):
+            seen.append(rows)
+            return rows.select(F.col(key).alias("ID"), *keep, (F.coalesce("a", F.lit(0.0)) * 3.0).alias("pred_y"))
+
+    out = {r["feature"]: r for r in tune.permutation_importance(Guess(), df, ["a", "g"], repeats, 1).collect()}
+    assert seen[0].filter("feature = '__none__'").count() == n
+    assert out["a"]["importance_mean"] > 0.3 and abs(out["g"]["importance_mean"]) < 1e-9
